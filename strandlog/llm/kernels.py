@@ -84,13 +84,13 @@ def blocks(offs: np.ndarray, limit: int = BLOCK_BYTES):
         at = to
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and n + 1 offsets of each text's words."""
+def words(data: np.ndarray, offs: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and n + 1 offsets of each text's words. ``between``: bytes outside words."""
     n = len(data)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offs), np.int64)
     ink = np.zeros(n + 2, bool)
-    np.logical_not(WHITE[data], out=ink[1:-1])
+    np.logical_not(between[data], out=ink[1:-1])
     first = ink[1:] & ~ink[:-1]  # at i: a word starts at i; at n: never
     last = ~ink[1:] & ink[:-1]  # at i: a word ended before i
     cut = offs[(offs > 0) & (offs < n)]

@@ -74,3 +74,24 @@ def word_list(text: Column) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once a row, however often the body names it."""
     return F.transform(F.array(value), body)[0]
+
+
+#: Bits of the filter that ``narrow`` sends to every executor: 16 MB at most, whatever the tables.
+FILTER_BITS = 1 << 27
+_BUCKET = 1 << 15  # bits of one bitmap
+
+
+def narrow(rows: DataFrame, members: DataFrame, col: str = "doc_id") -> DataFrame:
+    """``rows`` without most of those whose id isn't in ``members``, decided where they are read.
+
+    A bitmap of id hashes of fixed size is broadcast, so a join that follows shuffles little but what it
+    keeps. Some other rows pass: the join decides.
+    """
+
+    def keyed(df: DataFrame) -> DataFrame:
+        slot = F.pmod(F.xxhash64(F.col(col)), F.lit(FILTER_BITS))
+        return df.withColumn("_bucket", F.floor(slot / _BUCKET).cast("int")).withColumn("_bit", (slot % _BUCKET).cast("int"))
+
+    bits = keyed(members.select(col)).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    passed = F.expr("shiftright(cast(conv(hex(substring(_bits, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int), _bit % 8) & 1 = 1")
+    return keyed(rows).join(F.broadcast(bits), "_bucket").where(passed).select(*rows.columns)

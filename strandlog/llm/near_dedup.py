@@ -294,7 +294,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, threshold: int) -> Dat
     # A member's block comes from its id's hash: blocks are about BLOCK long and need no ordering.
     known = known.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("x"), F.greatest(F.col("block"), o).alias("y")))
-    sent = known.join(docs, "doc_id").select("doc_id", "text", "component", "block", F.explode(pairs).alias("pair"))
+    sent = known.join(common.narrow(docs, known), "doc_id").select("doc_id", "text", "component", "block", F.explode(pairs).alias("pair"))
     sent = sent.select("doc_id", "text", F.xxhash64("component", "pair.x", "pair.y").alias("meeting"), (F.col("block") == F.col("pair.y")).alias("right"), (F.col("pair.x") == F.col("pair.y")).alias("own"))
     sent = sent.repartition("meeting").sortWithinPartitions("meeting", "right", "doc_id").select("meeting", "right", "own", "doc_id", "text")
 

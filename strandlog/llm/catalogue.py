@@ -11,6 +11,7 @@ from strandlog.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     url_filters,
 )
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_quality_classifier": quality_classifier.op2_quality_classifier,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_pack_tokens": packing.op4_pack_tokens,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_url_filters": url_filters.op6_url_filters,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_language_id": language_id.op8_language_id,

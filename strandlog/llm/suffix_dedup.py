@@ -42,7 +42,9 @@ SPAN = DEPTH - GRAM + 1  # grams in a window
 PERIOD = 21
 #: A perfect difference set, so any two residues modulo 21 meet in it after one shift below 21.
 COVER = np.array([3, 6, 7, 12, 14])
-BUCKET_BYTES = 24 << 20  # text that a bucket stands for
+BUCKET_BYTES = 8 << 20  # text that a bucket stands for
+BATCH_BYTES = 8 << 20  # text that sends its contexts together
+BLOCK_TEXT = 2 << 20  # contexts sorted together, unless one anchor has more
 SORT_ROWS = 1 << 20
 FILTER_BITS = 1 << 28
 _BLOCK = 512 << 10
@@ -118,9 +120,9 @@ def repeated_anchors(reps: DataFrame, buckets: int) -> DataFrame:
         h, n = np.unique(np.concatenate(found), return_counts=True)
         many, b = n > 1, (h % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(b, kind="stable")
-        edge = np.searchsorted(b[order], np.arange(buckets + 1))
-        parts = [order[edge[k] : edge[k + 1]] for k in range(buckets)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(buckets), pa.int32()), pa.array([h[x].tobytes() for x in parts], pa.binary()), pa.array([many[x].tobytes() for x in parts], pa.binary())], schema.names)
+        some, edge = np.unique(b[order], return_index=True)
+        parts = np.split(order, edge[1:])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([h[x].tobytes() for x in parts], pa.binary()), pa.array([many[x].tobytes() for x in parts], pa.binary())], schema.names)
 
     def meet(table: pa.Table):
         h, many = _cat(table["h"], "<u8")[0], _cat(table["many"], "?")[0]
@@ -147,51 +149,57 @@ def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 def contexts(reps: DataFrame, bitmap: np.ndarray, bits: int, buckets: int, rounds: int, turn: int) -> DataFrame:
     """Contexts of marked anchors by batch and bucket, each context once, and where they stand.
 
-    ctx: anchor hash, place of the anchor in the context, length; bytes: the contexts end to end; least: the
-    smallest order of each; occ: order, fingerprint, start and context number of each occurrence.
+    ctx: anchor hash, place of the anchor in the context, length; bytes: the contexts end to end; name: the
+    hash of each; least: the smallest order of each; occ: order, fingerprint, start and context number of each occurrence.
     """
     shared = reps.sparkSession.sparkContext.broadcast(bitmap)
-    schema = T.StructType.fromDDL("bucket int, batch long, anchor binary, rel binary, len binary, bytes binary, least binary, o_ord binary, o_fp binary, o_start binary, o_ctx binary")
+    schema = T.StructType.fromDDL("bucket int, batch long, anchor binary, name binary, rel binary, len binary, bytes binary, least binary, o_ord binary, o_fp binary, o_start binary, o_ctx binary")
 
     def run(batches):
         marks, number = shared.value, 0
         for batch in batches:
             data, offs = kernels.text_buffer(batch.column(2))
             ords, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            got = []
-            for a, b in kernels.blocks(offs, _BLOCK):
-                own = offs[a : b + 1] - offs[a]
-                h, p, lo, hi, c = anchors(data[offs[a] : offs[b]], own)
-                slot = _slots(h, bits)
-                keep = (marks[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-                if rounds > 1:
-                    keep &= (h >> np.uint64(40)) % np.uint64(rounds) == np.uint64(turn)
-                h, p, lo, hi = h[keep], p[keep], lo[keep], hi[keep]
-                doc = np.searchsorted(own, lo, "right") - 1
-                end = hi + DEPTH
-                name = kernels.spans_hash(c, lo, end) ^ kernels.mix((p - lo).astype(np.uint64) * np.uint64(64) + (end - lo).astype(np.uint64) + np.uint64(1))
-                got.append((h, p - lo, end - lo, lo + offs[a], name, a + doc, lo - own[doc]))
-            h, rel, size, at, name, doc, start = (np.concatenate(x) for x in zip(*got, strict=True))
-            if not len(h):
-                continue
-            unit = h % np.uint64(buckets)
-            order = np.lexsort((ords[doc], name, unit))
-            new = np.concatenate(([True], (name[order][1:] != name[order][:-1]) | (unit[order][1:] != unit[order][:-1])))
-            which = np.cumsum(new) - 1  # context number over the batch, ordered by bucket
-            first = order[new]
-            ctx_unit, occ_unit = unit[first], unit[order]
-            ce, oe = np.searchsorted(ctx_unit, np.arange(buckets + 1, dtype=np.uint64)), np.searchsorted(occ_unit, np.arange(buckets + 1, dtype=np.uint64))
-            batch_id = (TaskContext.get().partitionId() << 24) + number
-            number += 1
-            rows = []
-            for k in range(buckets):
-                f, o = first[ce[k] : ce[k + 1]], order[oe[k] : oe[k + 1]]
-                if len(f):
-                    n = size[f]
-                    text = data[np.repeat(at[f] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-                    rows.append((k, batch_id, h[f].tobytes(), rel[f].astype("u1").tobytes(), n.astype("u1").tobytes(), text.tobytes(), ords[doc[f]].astype("<i8").tobytes(),
-                                 ords[doc[o]].astype("<i8").tobytes(), fps[doc[o]].astype("<i8").tobytes(), start[o].astype("<i4").tobytes(), (which[oe[k] : oe[k + 1]] - ce[k]).astype("<i4").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), pa.schema([(n, {"int": pa.int32(), "bigint": pa.int64()}.get(t, pa.binary())) for n, t in kinds]), strict=True)], schema.names)
+            for a, b in kernels.blocks(offs, BATCH_BYTES):
+                out = send(marks, data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], ords[a:b], fps[a:b], (TaskContext.get().partitionId() << 24) + number)
+                number += 1
+                if out is not None:
+                    yield out
+
+    def send(marks, data, offs, ords, fps, batch_id):
+        got = []
+        for a, b in kernels.blocks(offs, _BLOCK):
+            own = offs[a : b + 1] - offs[a]
+            h, p, lo, hi, c = anchors(data[offs[a] : offs[b]], own)
+            slot = _slots(h, bits)
+            keep = (marks[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+            if rounds > 1:
+                keep &= (h >> np.uint64(40)) % np.uint64(rounds) == np.uint64(turn)
+            h, p, lo, hi = h[keep], p[keep], lo[keep], hi[keep]
+            doc = np.searchsorted(own, lo, "right") - 1
+            end = hi + DEPTH
+            name = kernels.spans_hash(c, lo, end) ^ kernels.mix((p - lo).astype(np.uint64) * np.uint64(64) + (end - lo).astype(np.uint64) + np.uint64(1))
+            got.append((h, p - lo, end - lo, lo + offs[a], name, a + doc, lo - own[doc]))
+        h, rel, size, at, name, doc, start = (np.concatenate(x) for x in zip(*got, strict=True))
+        if not len(h):
+            return None
+        unit = h % np.uint64(buckets)
+        order = np.lexsort((ords[doc], name, unit))
+        new = np.concatenate(([True], (name[order][1:] != name[order][:-1]) | (unit[order][1:] != unit[order][:-1])))
+        which = np.cumsum(new) - 1  # context number over the batch, ordered by bucket
+        first = order[new]
+        ctx_unit, occ_unit = unit[first], unit[order]
+        some = np.unique(ctx_unit)
+        ce, oe = np.append(np.searchsorted(ctx_unit, some), len(first)), np.append(np.searchsorted(occ_unit, some), len(order))
+        rows = []
+        for k in range(len(some)):
+            f, o = first[ce[k] : ce[k + 1]], order[oe[k] : oe[k + 1]]
+            if len(f):
+                n = size[f]
+                text = data[np.repeat(at[f] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                rows.append((int(some[k]), batch_id, h[f].tobytes(), name[f].tobytes(), rel[f].astype("u1").tobytes(), n.astype("u1").tobytes(), text.tobytes(), ords[doc[f]].astype("<i8").tobytes(),
+                             ords[doc[o]].astype("<i8").tobytes(), fps[doc[o]].astype("<i8").tobytes(), start[o].astype("<i4").tobytes(), (which[oe[k] : oe[k + 1]] - ce[k]).astype("<i4").tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), pa.schema([(n, {"int": pa.int32(), "bigint": pa.int64()}.get(t, pa.binary())) for n, t in kinds]), strict=True)], schema.names)
 
     kinds = [(f.name, f.dataType.simpleString()) for f in schema.fields]
     return reps.mapInArrow(run, schema)
@@ -291,9 +299,7 @@ def _solve(table: pa.Table):
     anchor, count = _cat(table["anchor"], "<u8")
     rel, size, least = _cat(table["rel"], "u1")[0], _cat(table["len"], "u1")[0].astype(np.int64), _cat(table["least"], "<i8")[0]
     data = np.frombuffer(b"".join(table["bytes"].to_pylist()), np.uint8)
-    past = np.cumsum(size)
-    c = kernels.prefix_hash(data)
-    name = kernels.spans_hash(c, past - size, past) ^ kernels.mix(rel.astype(np.uint64) * np.uint64(256) + size.astype(np.uint64))
+    past, name = np.cumsum(size), _cat(table["name"], "<u8")[0]
     # Different contexts, and the smallest order of each.
     order = np.lexsort((least, name, anchor))
     new = np.concatenate(([True], (name[order][1:] != name[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])))
@@ -307,12 +313,19 @@ def _solve(table: pa.Table):
     alone[:-1] &= owner[:-1] != owner[1:]
     mixed = np.flatnonzero(~alone)
     many = size[one] - DEPTH + 1
-    values, at = {}, np.full(len(one), -1, np.int64)
+    values, at = np.zeros(0, np.int64), np.full(len(one), -1, np.int64)
     if len(mixed):
-        pick = one[mixed]
-        n = size[pick]
-        text = data[np.repeat(past[pick] - size[pick] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        values = least_orders(rel[pick], n, text, low[mixed])
+        # Different anchors have no window in common: blocks split between anchors.
+        begins = np.concatenate(([True], owner[mixed][1:] != owner[mixed][:-1]))
+        volume = (np.cumsum(size[one[mixed]]) // BLOCK_TEXT)[np.maximum.accumulate(np.where(begins, np.arange(len(mixed)), 0))]
+        cuts = np.flatnonzero(np.concatenate(([True], volume[1:] != volume[:-1])))
+        parts = []
+        for x, y in zip(cuts, np.append(cuts[1:], len(mixed)), strict=True):
+            pick = one[mixed[x:y]]
+            n = size[pick]
+            text = data[np.repeat(past[pick] - size[pick] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            parts.append(least_orders(rel[pick], n, text, low[mixed[x:y]]))
+        values = np.concatenate(parts)
         at[mixed] = np.cumsum(many[mixed]) - many[mixed]
     first = np.concatenate(([0], np.cumsum(count)))
     out_n, out_v = [], []
@@ -331,7 +344,8 @@ def _solve(table: pa.Table):
 
 def _marked(batch: pa.RecordBatch):
     """Removed ranges by document: ord, fp, ranges (start and end of each, packed)."""
-    for row in batch.to_pylist():
+    for k in range(batch.num_rows):
+        row = batch.slice(k, 1).to_pylist()[0]
         n, v, size = (np.frombuffer(row[c], k) for c, k in (("n", "u1"), ("v", "<i8"), ("len", "u1")))
         ords, fps, start, ctx = (np.frombuffer(row[c], k) for c, k in (("o_ord", "<i8"), ("o_fp", "<i8"), ("o_start", "<i4"), ("o_ctx", "<i4")))
         base, many = np.cumsum(n.astype(np.int64)) - n, size.astype(np.int64) - DEPTH + 1
@@ -378,7 +392,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for turn in range(rounds):  # a range of hashes at a time, so that the filter stays within its bound
         bitmap = _bitmap(repeated.where(F.shiftrightunsigned("h", 40) % rounds == turn), bits)
         sent = common.materialize(contexts(reps, bitmap, bits, buckets, rounds, turn), "substring-contexts")
-        asked = sent.select("bucket", "batch", "anchor", "rel", "len", "bytes", "least").repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
+        asked = sent.select("bucket", "batch", "anchor", "name", "rel", "len", "bytes", "least").repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
         told = asked.mapInArrow(lambda it: _grouped(it, _solve), "bucket int, batch long, n binary, v binary")
         met = told.join(sent.select("bucket", "batch", "len", "o_ord", "o_fp", "o_start", "o_ctx"), ["bucket", "batch"])
         got = common.materialize(common.map_arrow(met, _marked, T.StructType.fromDDL("ord long, fp long, ranges binary")), "substring-ranges")

@@ -44,7 +44,7 @@ PERIOD = 21
 COVER = np.array([3, 6, 7, 12, 14])
 BUCKET_BYTES = 8 << 20  # text that a bucket stands for
 BATCH_BYTES = 8 << 20  # text that sends its contexts together
-BLOCK_TEXT = 2 << 20  # contexts sorted together, unless one anchor has more
+BLOCK_TEXT = 512 << 10  # contexts sorted together, unless one anchor has more
 SORT_ROWS = 1 << 20
 FILTER_BITS = 1 << 28
 _BLOCK = 512 << 10
@@ -149,11 +149,11 @@ def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 def contexts(reps: DataFrame, bitmap: np.ndarray, bits: int, buckets: int, rounds: int, turn: int) -> DataFrame:
     """Contexts of marked anchors by batch and bucket, each context once, and where they stand.
 
-    ctx: anchor hash, place of the anchor in the context, length; bytes: the contexts end to end; name: the
-    hash of each; least: the smallest order of each; occ: order, fingerprint, start and context number of each occurrence.
+    rel, len: place of the anchor in each context, and its length; bytes: the contexts end to end; least: the
+    smallest order of each; occ: order, fingerprint, start and context number of each occurrence.
     """
     shared = reps.sparkSession.sparkContext.broadcast(bitmap)
-    schema = T.StructType.fromDDL("bucket int, batch long, anchor binary, name binary, rel binary, len binary, bytes binary, least binary, o_ord binary, o_fp binary, o_start binary, o_ctx binary")
+    schema = T.StructType.fromDDL("bucket int, batch long, rel binary, len binary, bytes binary, least binary, o_ord binary, o_fp binary, o_start binary, o_ctx binary")
 
     def run(batches):
         marks, number = shared.value, 0
@@ -197,7 +197,7 @@ def contexts(reps: DataFrame, bitmap: np.ndarray, bits: int, buckets: int, round
             if len(f):
                 n = size[f]
                 text = data[np.repeat(at[f] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-                rows.append((int(some[k]), batch_id, h[f].tobytes(), name[f].tobytes(), rel[f].astype("u1").tobytes(), n.astype("u1").tobytes(), text.tobytes(), ords[doc[f]].astype("<i8").tobytes(),
+                rows.append((int(some[k]), batch_id, rel[f].astype("u1").tobytes(), n.astype("u1").tobytes(), text.tobytes(), ords[doc[f]].astype("<i8").tobytes(),
                              ords[doc[o]].astype("<i8").tobytes(), fps[doc[o]].astype("<i8").tobytes(), start[o].astype("<i4").tobytes(), (which[oe[k] : oe[k + 1]] - ce[k]).astype("<i4").tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), pa.schema([(n, {"int": pa.int32(), "bigint": pa.int64()}.get(t, pa.binary())) for n, t in kinds]), strict=True)], schema.names)
 
@@ -296,10 +296,18 @@ def least_orders(rel: np.ndarray, size: np.ndarray, data: np.ndarray, least: np.
 
 def _solve(table: pa.Table):
     """For each row of a bucket, the smallest order of each window of its contexts: one number if all are equal."""
-    anchor, count = _cat(table["anchor"], "<u8")
-    rel, size, least = _cat(table["rel"], "u1")[0], _cat(table["len"], "u1")[0].astype(np.int64), _cat(table["least"], "<i8")[0]
-    data = np.frombuffer(b"".join(table["bytes"].to_pylist()), np.uint8)
-    past, name = np.cumsum(size), _cat(table["name"], "<u8")[0]
+    rel, count = _cat(table["rel"], "u1")
+    size, least = _cat(table["len"], "u1")[0].astype(np.int64), _cat(table["least"], "<i8")[0]
+    past, first = np.cumsum(size), np.concatenate(([0], np.cumsum(count)))
+    # Hashes of anchors and contexts are made again here: they would not compress on the way.
+    raw, anchor, name = table["bytes"].to_pylist(), np.empty(len(size), np.uint64), np.empty(len(size), np.uint64)
+    for r, x in enumerate(raw):
+        own = slice(first[r], first[r + 1])
+        c, end = kernels.prefix_hash(np.frombuffer(x, np.uint8)), np.cumsum(size[own])
+        at = end - size[own] + rel[own]
+        anchor[own] = kernels.spans_hash(c, at, at + GRAM)
+        name[own] = kernels.spans_hash(c, end - size[own], end) ^ kernels.mix(rel[own].astype(np.uint64) * np.uint64(256) + size[own].astype(np.uint64))
+    data = np.frombuffer(b"".join(raw), np.uint8)
     # Different contexts, and the smallest order of each.
     order = np.lexsort((least, name, anchor))
     new = np.concatenate(([True], (name[order][1:] != name[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])))
@@ -327,7 +335,6 @@ def _solve(table: pa.Table):
             parts.append(least_orders(rel[pick], n, text, low[mixed[x:y]]))
         values = np.concatenate(parts)
         at[mixed] = np.cumsum(many[mixed]) - many[mixed]
-    first = np.concatenate(([0], np.cumsum(count)))
     out_n, out_v = [], []
     for r in range(len(count)):
         k = kind[first[r] : first[r + 1]]
@@ -392,7 +399,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for turn in range(rounds):  # a range of hashes at a time, so that the filter stays within its bound
         bitmap = _bitmap(repeated.where(F.shiftrightunsigned("h", 40) % rounds == turn), bits)
         sent = common.materialize(contexts(reps, bitmap, bits, buckets, rounds, turn), "substring-contexts")
-        asked = sent.select("bucket", "batch", "anchor", "name", "rel", "len", "bytes", "least").repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
+        asked = sent.select("bucket", "batch", "rel", "len", "bytes", "least").repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
         told = asked.mapInArrow(lambda it: _grouped(it, _solve), "bucket int, batch long, n binary, v binary")
         met = told.join(sent.select("bucket", "batch", "len", "o_ord", "o_fp", "o_start", "o_ctx"), ["bucket", "batch"])
         got = common.materialize(common.map_arrow(met, _marked, T.StructType.fromDDL("ord long, fp long, ranges binary")), "substring-ranges")

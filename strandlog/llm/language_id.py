@@ -33,6 +33,7 @@ FIT_DOCS = 600  # a language
 ROUNDS = 3
 MAX_PIECE = 8  # bytes of the longest piece used: each fits one 64-bit integer
 UND = "und"
+SCORE_BYTES = 4 << 20  # text scored together
 _SLOT_BITS = 18
 
 
@@ -254,6 +255,11 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY, fit_docs: int = FIT_
 
     def run(batch: pa.RecordBatch):
         m = shared.value
+        _, offs = kernels.text_buffer(batch.column(3))
+        for a, b in kernels.blocks(offs, SCORE_BYTES):
+            yield score(m, batch.slice(a, b - a))
+
+    def score(m: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
         words, at, wo = count_words(batch.column(3))
         n, langs = batch.num_rows, len(m.langs)
         total = np.zeros((n, max(langs, 1)))
@@ -266,7 +272,7 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY, fit_docs: int = FIT_
         post = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
         letter = batch.column(2).to_numpy(zero_copy_only=False) & (langs > 0)
         names = np.array([*m.langs, UND], object)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(names[np.where(letter, best, langs)], pa.string()), pa.array(np.where(letter, post, 0.0))],
             ["doc_id", "held_out", "lang_pred", "score"],
         )

@@ -6,7 +6,7 @@ pass over the bytes. Probabilities are learned by expectation-maximisation, with
 expected piece counts, on about ``FIT_DOCS`` documents a language (those of smallest id hash; the bound is
 that parameter). A text's score is the posterior of the best language, each with the same prior.
 
-All words of every text count. Words are scored once per batch, all languages at a time, in numpy.
+All words of every text count. Words are scored once per block of ``SCORE_BYTES`` of text, all languages at a time, in numpy.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; a null language is not
 learned; with nothing to learn from, all is ``und``; of equal languages the first by name is given; a text

@@ -3,18 +3,18 @@
 Texts are tokenised with a byte-level vocabulary read from a file (a parameter). Different chunks of a batch
 are tokenised once: a text is cut before single spaces between visible characters, where the
 tokenizer's own pattern always cuts, so the ids are those of the whole text. Each document ends with
-``END``; a document longer than a row is split losslessly into full rows and a rest.
+the first id past the vocabulary; a document longer than a row is split losslessly into full rows and a rest.
 
 Segments are packed within a window of ``WINDOW_TOKENS`` tokens of one partition, longest first, each into the
 open row with the least room that is enough: a segment tree over the capacities finds it in logarithmic
 time. No shuffle is needed and a task holds one window, so memory is bounded and a lost executor costs its
 own partitions.
 
-A row has ``row_len`` ids (little-endian uint16 or int32, padded with ``END``), cumulative segment lengths
+A row has ``row_len`` ids (little-endian uint16, or int32 for a larger vocabulary, padded with that end), cumulative segment lengths
 (cu_seqlens: 0 first, past the last segment last), position ids that start at 0 again in every segment
 (uint16 or int32), and doc_id and part number of each segment.
 
-Defined cases: null and empty texts are one END token; null ids stay null; repeated rows are packed again;
+Defined cases: null and empty texts are one end token; null ids stay null; repeated rows are packed again;
 ties are packed in order of input; an empty table gives an empty result; other columns are ignored. Rows of
 one partition are numbered by (shard, row), which the same input files give again.
 """
@@ -22,6 +22,7 @@ one partition are numbered by (shard, row), which the same input files give agai
 from __future__ import annotations
 
 import base64
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,12 @@ from strandlog.llm import common, kernels
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-tokenisation pattern published with that vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-END = 50256
+END = 50256  # what ends a document with that vocabulary
 ROW_LEN = 2048
 WINDOW_TOKENS = 1 << 20
 BLOCK_BYTES = 8 << 20  # text whose different chunks are encoded together
 
-_encodings: dict[str, object] = {}
+_encodings: dict[bytes, object] = {}
 
 
 def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -48,13 +49,19 @@ def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def encoding(ranks: dict[bytes, int], name: str = VOCABULARY):
-    """The tokenizer of these ranks; made once in a process."""
+def digest(ranks: dict[bytes, int]) -> bytes:
+    """Tells vocabularies apart."""
+    return hashlib.sha256(repr(sorted(ranks.items())).encode()).digest()
+
+
+def encoding(ranks: dict[bytes, int], key: bytes | None = None):
+    """The tokenizer of these ranks; made once in a process. ``key``: their digest, where it is known."""
     import tiktoken
 
-    if name not in _encodings:
-        _encodings[name] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encodings[name]
+    key = key or digest(ranks)
+    if key not in _encodings:
+        _encodings[key] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return _encodings[key]
 
 
 def _ink(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +92,8 @@ def chunk_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 class Tokenizer:
     """Ids of whole columns; different chunks of a block are encoded once."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.enc = encoding(ranks)
+    def __init__(self, ranks: dict[bytes, int], key: bytes | None = None):
+        self.enc = encoding(ranks, key)
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for piece, i in ranks.items():
             self.width[i] = len(piece)
@@ -184,12 +191,17 @@ def best_fit_decreasing(sizes: np.ndarray, row_len: int) -> tuple[np.ndarray, in
     return row, n
 
 
-def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int = ROW_LEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per packed sequence: shard, row, n_tokens, input_ids, cu_seqlens, position_ids, doc_ids, parts."""
+def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int = ROW_LEN, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """One row per packed sequence: shard, row, n_tokens, input_ids, cu_seqlens, position_ids, doc_ids, parts.
+
+    ``vocabulary`` is the path of a byte-level vocabulary for ``PATTERN``, read by the driver; ``ranks`` one already read.
+    """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(ranks or load_ranks())  # a fixed public vocabulary
+    ranks = ranks or load_ranks(vocabulary)
+    end = max(ranks.values()) + 1
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, digest(ranks)))  # a fixed public vocabulary
     schema = T.StructType.fromDDL("shard int, row int, n_tokens int, input_ids binary, cu_seqlens array<int>, position_ids binary, doc_ids array<long>, parts array<int>")
-    id_type, pos_type = np.dtype("<u2"), np.dtype("<u2" if row_len < 1 << 16 else "<i4")
+    id_type, pos_type = np.dtype("<u2" if end < 1 << 16 else "<i4"), np.dtype("<u2" if row_len < 1 << 16 else "<i4")
 
     def rows(names: list, ids: list[np.ndarray], first: int, shard: int) -> pa.RecordBatch:
         size = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -200,7 +212,7 @@ def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int =
         row, n = best_fit_decreasing(length, row_len)
         order = np.argsort(row, kind="stable")
         edge = np.searchsorted(row[order], np.arange(n + 1))
-        out, pos = np.full((n, row_len), END, id_type), np.zeros((n, row_len), pos_type)
+        out, pos = np.full((n, row_len), end, id_type), np.zeros((n, row_len), pos_type)
         count, cu, owners, numbers = [], [], [], []
         ramp = np.arange(row_len, dtype=pos_type)
         for r in range(n):
@@ -231,7 +243,7 @@ def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int =
         )
 
     def run(batches):
-        tok, shard = Tokenizer(shared.value), TaskContext.get().partitionId()
+        tok, shard = Tokenizer(*shared.value), TaskContext.get().partitionId()
         names, ids, held, first = [], [], 0, 0
         for batch in batches:
             data, offs = kernels.text_buffer(batch.column(1))
@@ -240,7 +252,7 @@ def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int =
                 flat, to = tok.ids(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
                 for i in range(b - a):
                     names.append(owner[a + i])
-                    ids.append(np.append(flat[to[i] : to[i + 1]], END).astype(id_type))
+                    ids.append(np.append(flat[to[i] : to[i + 1]], end).astype(id_type))
                     held += len(ids[-1])
                 if held >= WINDOW_TOKENS:
                     out = rows(names, ids, first, shard)
@@ -253,9 +265,9 @@ def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int =
     return docs.mapInArrow(run, schema)
 
 
-def unpack(row: dict) -> list[tuple[int, int, np.ndarray]]:
+def unpack(row: dict, id_type: str = "<u2") -> list[tuple[int, int, np.ndarray]]:
     """(doc_id, part, ids) of the segments of a packed row."""
-    ids = np.frombuffer(row["input_ids"], "<u2")
+    ids = np.frombuffer(row["input_ids"], id_type)
     cu = row["cu_seqlens"]
     return [(d, p, ids[a:b]) for d, p, a, b in zip(row["doc_ids"], row["parts"], cu[:-1], cu[1:], strict=True)]
 

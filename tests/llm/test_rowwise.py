@@ -285,3 +285,14 @@ def test_packing_round_trip(spark, odd, none):
         assert all(len(x) == 256 for x in mine[:-1])
         assert list(np.concatenate(mine)) == [*enc.encode_ordinary(t or ""), packing.END]
     assert packing.pack(none).count() == 0 and hashlib.sha256(b"").hexdigest()
+
+
+def test_packing_takes_other_vocabularies(spark):
+    other = {bytes([b]): b for b in range(256)} | {b" w": 70_000}
+    docs = spark.createDataFrame([(1, "a w w b")], "doc_id long, text string")
+    for ranks, kind in ((packing.load_ranks(), "<u2"), (other, "<i4")):
+        (row,) = packing.pack(docs, ranks, row_len=16).collect()
+        ((doc, part, ids),) = packing.unpack(row.asDict(), kind)
+        assert len(row["input_ids"]) == 16 * np.dtype(kind).itemsize and (doc, part) == (1, 0)
+        assert list(ids) == [*packing.encoding(ranks).encode_ordinary("a w w b"), max(ranks.values()) + 1]
+    assert len(ids) == 6

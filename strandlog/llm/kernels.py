@@ -14,7 +14,7 @@ WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Text handled at once, in bytes. Keeps the 8-byte work arrays of a block inside tens of MB.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

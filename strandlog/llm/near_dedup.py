@@ -43,6 +43,7 @@ MANTISSA = 10
 MARGIN = 6.0
 BUCKET_ROWS = 20_000
 BLOCK = 256
+COUNTED_AT_ONCE = 1 << 20  # shingles of a block pair that are sorted together
 
 #: For register j: the bucket it is filled from is the first of this order that isn't empty.
 _PROBES = 64
@@ -254,6 +255,27 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, schema).unionByName(hot).distinct()
 
 
+def _add_shared(sets: list[np.ndarray], both: np.ndarray) -> None:
+    """Add to ``both`` how many hashes each two sets share."""
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    new = np.concatenate(([True], values[1:] != values[:-1]))[: len(values)]
+    group = np.cumsum(new) - 1
+    shared = np.bincount(group)[group] > 1
+    group, owner = group[shared], owner[shared]
+    if not len(group):
+        return
+    col = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]).astype(np.int64))))
+    step = 4096  # columns at once
+    for at in range(0, int(col[-1]) + 1, step):
+        lo, hi = np.searchsorted(col, [at, at + step])
+        m = np.zeros((len(sets), min(step, int(col[-1]) + 1 - at)), np.float32)
+        m[owner[lo:hi], col[lo:hi] - at] = 1
+        both += m @ m.T
+
+
 def exact_links(sets: list[np.ndarray], first: int, threshold: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs (i, j) with similarity of at least ``threshold`` per cent.
 
@@ -261,23 +283,13 @@ def exact_links(sets: list[np.ndarray], first: int, threshold: int) -> list[tupl
     hashes that two sets share are counted, as products of 0/1 matrices.
     """
     size = np.array([len(s) for s in sets])
-    values = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), size)
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    new = np.concatenate(([True], values[1:] != values[:-1]))
-    group = np.cumsum(new) - 1
-    shared = np.bincount(group)[group] > 1
-    group, owner = group[shared], owner[shared]
     both = np.zeros((len(sets), len(sets)), np.float32)
-    if len(group):
-        col = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]).astype(np.int64))))
-        step = 4096  # columns at once: memory doesn't grow with the texts
-        for at in range(0, int(col[-1]) + 1, step):
-            lo, hi = np.searchsorted(col, [at, at + step])
-            m = np.zeros((len(sets), min(step, int(col[-1]) + 1 - at)), np.float32)
-            m[owner[lo:hi], col[lo:hi] - at] = 1
-            both += m @ m.T
+    # The sets are sorted: equal ranges of hashes are taken from all of them, one range after the other.
+    ranges = int(size.sum() // COUNTED_AT_ONCE) + 1
+    edges = (np.arange(1, ranges, dtype=np.float64) * (2.0**64 / ranges)).astype(np.uint64)
+    cuts = np.stack([np.concatenate(([0], np.searchsorted(s, edges), [len(s)])) for s in sets])
+    for k in range(ranges):
+        _add_shared([s[a:b] for s, a, b in zip(sets, cuts[:, k], cuts[:, k + 1], strict=True)], both)
     union = size[:, None] + size[None, :] - both
     linked = (100 * both >= threshold * union) & (both > 0)
     forest, out = _Forest(len(sets)), []

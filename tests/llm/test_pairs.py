@@ -68,6 +68,26 @@ def test_near_odd(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("at_once", [7, 100, 1 << 20])
+def test_exact_links_in_ranges(monkeypatch, at_once):
+    monkeypatch.setattr(near_dedup, "COUNTED_AT_ONCE", at_once)
+    rng = np.random.default_rng(at_once)
+    base = [rng.integers(0, 2**63, 40, dtype=np.uint64) * np.uint64(2) for _ in range(6)]
+    sets = [np.unique(np.concatenate((b[rng.random(40) < 0.95], rng.integers(0, 2**63, rng.integers(0, 4), dtype=np.uint64)))) for b in base for _ in range(5)]
+    for first in (0, 13):
+        up = list(range(len(sets)))
+        for i, j in near_dedup.exact_links(sets, first, 85):
+            assert (not first or i < first <= j) and up[i] != up[j]
+            up = [up[i] if x == up[j] else x for x in up]
+        want = list(range(len(sets)))
+        for i in range(len(sets)):
+            for j in range(i + 1, len(sets)):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both) and (not first or i < first <= j):
+                    want = [want[i] if x == want[j] else x for x in want]
+        assert len(set(zip(up, want, strict=True))) == len(set(up)) == len(set(want))
+
+
 def test_estimate():
     rng = np.random.default_rng(6)
     both, x, y = (rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) for n in (6000, 1000, 1000))

@@ -25,6 +25,7 @@ QUERIES = {
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_language_id": language_id.op8_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op9_line_dedup_from_one": line_dedup.op9_line_dedup_from_one,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
@@ -32,4 +33,5 @@ ORACLE_SQL = {
     "op3_quality_rules": quality_rules.ORACLE_SQL,
     "op6_url_filters": url_filters.ORACLE_SQL,
     "op9_line_dedup": line_dedup.ORACLE_SQL,
+    "op9_line_dedup_from_one": line_dedup.ORACLE_SQL_FROM_ONE,
 }

@@ -126,6 +126,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op9_line_dedup_from_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with runs from one line on: later copies of any line go, and of one-line documents."""
+    out = dedup_lines(common.read(spark, sf_dir, "documents"), min_run=1)
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 ORACLE_SQL = r"""
 WITH l AS (SELECT doc_id, ln, line, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS pos FROM
        (SELECT doc_id, unnest(range(0, len(x))) AS ln, unnest(x) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents))
@@ -142,3 +148,17 @@ SELECT d.doc_id, CAST((SELECT count(*) FROM l WHERE l.doc_id = d.doc_id) AS BIGI
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN g USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+#: A line goes if an earlier one equals it.
+ORACLE_SQL_FROM_ONE = r"""
+WITH x AS (SELECT doc_id, unnest(range(0, len(x))) AS ln, unnest(x) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+l AS (SELECT doc_id, ln, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, ln) AS nth
+      FROM x WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+r AS (SELECT doc_id, ln, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM l WHERE nth > 1),
+g AS (SELECT doc_id, sum(n) AS n_removed, count(*) AS n_runs, max(n) AS longest_run FROM (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL) GROUP BY doc_id),
+t AS (SELECT x.doc_id, string_agg(line, chr(10) ORDER BY x.ln) AS kept FROM x ANTI JOIN r USING (doc_id, ln) GROUP BY x.doc_id),
+n AS (SELECT doc_id, count(*) AS n_lines FROM l GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs,
+  CAST(coalesce(longest_run, 0) AS BIGINT) AS longest_run, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

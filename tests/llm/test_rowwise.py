@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandlog.llm import catalogue as llm_catalogue
 from strandlog.llm import decontaminate, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, url_filters
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, rank int"
@@ -131,6 +132,16 @@ def test_lines(spark, run):
     assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in got} == want
 
 
+def test_lines_from_one(spark, tmp_path):
+    long = " ".join(f"w{k}" for k in range(75))
+    docs = [(1, long), (2, f"a\n{long}\nb"), (3, long), (4, "c\nd"), (5, "e\nf")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = llm_catalogue.QUERIES["op9_line_dedup_from_one"](spark, str(tmp_path)).collect()
+    want = {i: (n, hashlib.sha256(t.encode()).hexdigest()) for i, (_, n, t) in brute_lines(docs, 1).items()}
+    assert {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in got} == want
+    assert [want[i][0] for i in range(1, 6)] == [0, 1, 1, 0, 0]
+
+
 def test_lines_odd(odd, none):
     got = line_dedup.dedup_lines(odd).collect()
     assert len(got) == len(ODD) and {r["text"] for r in got if r["doc_id"] in (1, 2)} == {""} and line_dedup.dedup_lines(none).count() == 0

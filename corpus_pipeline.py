@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from strandlog.llm import common, decontaminate, mixing, near_dedup, packing, quality_classifier
 
 
+#: Per cent of shared shingles from which the stage drops a copy; the contract of op10's own query is higher.
+NEAR = 80
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` without the ids of ``rejected``; a null id matches none."""
     ids = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
@@ -27,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component of near copies: the one of smallest id, in one row."""
-    judged = near_dedup.near_duplicates(docs)
+    judged = near_dedup.near_duplicates(docs, NEAR)
     return _without(docs, judged.where("not kept"))
 
 

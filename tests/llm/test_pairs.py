@@ -210,3 +210,18 @@ def test_pipeline_stages(spark, stage, tmp_path):
     else:
         assert max(ids.count(i) for i in everything) <= 2 and sum(len(d[1].split()) * ids.count(d[0]) for d in docs if d[1]) == pytest.approx(1.5 * 80 * 123, rel=0.1)
     assert pipeline.STAGES[4][1](spark, out.limit(3), folder).count() >= 1
+
+
+def test_pipeline_drops_near_copies_from_80(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(12)
+    docs = []
+    for i in range(12):
+        base = [f"w{k}" for k in rng.integers(0, 10**6, 80)]
+        near, far = list(base), list(base)
+        near[40:43] = ["new1", "new2", "new3"]  # 69 of 83 shingles: 0.83
+        far[40:46] = [f"new{k}" for k in range(6)]  # 66 of 86 shingles: 0.77
+        docs += [(i, " ".join(base)), (100 + i, " ".join(near)), (200 + i, " ".join(far))]
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in pipeline.near_duplicates(spark, table, "").collect()}
+    assert kept == {i for i, _ in docs if not 100 <= i < 200}

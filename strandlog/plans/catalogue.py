@@ -205,12 +205,23 @@ def encode_blob(spark, d):
     return docs.select("doc_id", F.lower(F.hex(E.encode_blob(F.encode("text", "UTF-8"), "documents.text"))).alias("body"))
 
 
+@query("SELECT doc_id, lower(hex(encode(text))) AS body FROM documents")
+def encode_blob_all(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.lower(F.hex(E.encode_blob(F.encode("text", "UTF-8"), "documents.text"))).alias("body"))
+
+
 @query("SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS n FROM documents WHERE octet_length(encode(text)) > 20000")
 def encode_size_guard(spark, d):
     n = E.size_of(E.guard_size(F.col("text"), "documents.text"))
     return _t(spark, d, "documents").select("doc_id", n.cast("long").alias("n")).where("n > 20000")
 
 
+@query("SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS n FROM documents")
+def encode_size_all(spark, d):
+    n = E.size_of(E.guard_size(F.col("text"), "documents.text"))
+    return _t(spark, d, "documents").select("doc_id", n.cast("long").alias("n"))
+
+
 # -- merge -------------------------------------------------------------------------------------------------
 
 #: Changes to orders: key % 5 = 0 newer, 1 stale, 2 of the same time; 3 and 4 unchanged.

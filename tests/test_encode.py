@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from strandlog.functions import encode as E
 from strandlog.functions.scalars import authorized, enabled, positive_number
+from strandlog.plans import catalogue
 
 
 def one(spark, value, logical, kind="string"):
@@ -78,3 +79,12 @@ def test_scalars():
     assert positive_number("5") == 5 and positive_number("-1", 3) == 3 and positive_number("x") is None and positive_number("inf", 2) == 2
     assert enabled("true") and not enabled("TRUE") and not enabled(None)
     assert authorized("Bearer s", "s") and not authorized("Bearer s", "") and not authorized("s", "s") and not authorized(None, "s")
+
+
+def test_all_texts_are_encoded(spark, tmp_path):
+    rows = [(1, "short", 5), (2, "é" * 30_000, 30_000), (3, "no length", None), (4, None, None), (5, "", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    body = {r["doc_id"]: r["body"] for r in catalogue.QUERIES["encode_blob_all"](spark, str(tmp_path)).collect()}
+    assert body == {i: t if t is None else t.encode().hex() for i, t, _ in rows}
+    size = {r["doc_id"]: r["n"] for r in catalogue.QUERIES["encode_size_all"](spark, str(tmp_path)).collect()}
+    assert size == {i: t if t is None else len(t.encode()) for i, t, _ in rows}

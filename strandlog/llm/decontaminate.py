@@ -1,19 +1,21 @@
-"""Benchmark decontamination by spaced seeds.
+"""Benchmark decontamination by seeds of two neighbouring tokens.
 
-A token is a run of letters and digits, in lower case. A seed is the hash of some positions of a window of
-tokens: each of the fixed ``MASKS`` looks at the positions of its ones and ignores the others, so a replaced
-token spoils only seeds that look at it. Seeds of the texts that equal a seed of a benchmark item give
-(text, item, diagonal) hits; the item is then laid along its diagonal over the whole text and compared
-token by token. An overlap counts if it holds
+A token is a run of letters and digits, in lower case. Pairs of neighbouring tokens of the texts that equal a
+pair of a benchmark item give (text, item, diagonal) hits; the item is then laid along its diagonal over the
+whole text and compared token by token. An overlap counts if it holds
 
-* at least ``COVER`` of the item's tokens, and ``LEAST`` of them or all, or
+* at least ``COVER`` of the item's tokens, and ``LEAST`` of them or all but one, or
 * a stretch whose equal tokens outnumber the different ones by ``STRETCH``.
 
+No overlap that counts is missed. Tokens replaced in b places leave a equal ones in at most b + 1 runs, and so
+at least a - b - 1 equal pairs: ``sure`` of them in an overlap of the first kind, ``STRETCH`` - 1 in one of the
+second. An item may therefore leave out its commonest pairs, one fewer than these.
+
 The benchmark is the stated query set: it is read in blocks of at most ``BLOCK_TOKENS`` tokens, a bound that
 is checked, and each block meets all texts in one pass without a shuffle. Only hits are shuffled.
 
 Defined cases: null and empty texts are clean; benchmark rows with null text, or fewer than ``SHORTEST``
-tokens, are not searched for, and items shorter than a mask are searched for whole; repeated rows and ids
+tokens, are not searched for; repeated rows and ids
 each get a row, and rows with one id share what any of them has; null ids are one id; an empty table of
 either kind gives a clean or empty result; other columns of the input are ignored.
 """
@@ -28,8 +30,6 @@ from pyspark.sql import types as T
 
 from strandlog.llm import common, kernels
 
-#: Tokens looked at, of a window.
-MASKS = ("11011011", "1110010111", "111101111", "1101001011")
 SHORTEST = 5
 COVER, LEAST, STRETCH = 0.6, 9, 12
 BLOCK_TOKENS = 1_000_000
@@ -37,6 +37,7 @@ BLOCK_TOKENS = 1_000_000
 #: All ASCII but letters and digits.
 _BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _FILTER_BITS = 20
+HITS_AT_ONCE, COMPARED_AT_ONCE = 1 << 16, 1 << 20  # hits of a block of texts, and their tokens
 
 
 def tokens(col: pa.Array):
@@ -52,18 +53,19 @@ def tokens(col: pa.Array):
         yield kernels.spans_hash(kernels.prefix_hash(part, lower=True), start, end), wo, a
 
 
-def _looks() -> dict[int, list[int]]:
-    """Number of a mask -> its positions; numbers from 100 are whole short items of number - 100 tokens."""
-    return dict(enumerate([[i for i, c in enumerate(m) if c == "1"] for m in MASKS]))
+def need(n: int) -> int:
+    """Equal tokens from which an overlap with an item of n tokens counts."""
+    return max(int(np.ceil(COVER * n - 1e-9)), min(LEAST, n - 1))
+
+
+def sure(n: int) -> int:
+    """Equal pairs in every overlap of ``need`` tokens, wherever the others stand."""
+    return 2 * need(n) - n - 1
 
 
-def seeds(h: np.ndarray, look: list[int]) -> np.ndarray:
-    """The seed at every place where the whole mask fits."""
-    n = len(h) - look[-1]
-    out = np.full(max(n, 0), np.uint64(len(look)) * kernels.WORD_KEYS[62])
-    for k, p in enumerate(look):
-        out += h[p : p + len(out)] * kernels.WORD_KEYS[k]
-    return kernels.mix(out)
+def seeds(h: np.ndarray) -> np.ndarray:
+    """The seed of each token and the next."""
+    return kernels.mix(h[:-1] * kernels.WORD_KEYS[0] + h[1:] * kernels.WORD_KEYS[1])
 
 
 class Index:
@@ -71,54 +73,76 @@ class Index:
 
     def __init__(self, ids: list[int], items: list[np.ndarray]):
         self.ids, self.items = ids, items
-        shortest = min(len(m) for m in MASKS)
-        self.looks = _looks()
-        own: dict[int, list] = {k: [] for k in self.looks}
-        for i, h in enumerate(items):
-            if len(h) < shortest:
-                self.looks[100 + len(h)] = list(range(len(h)))
-                own.setdefault(100 + len(h), []).append((i, seeds(h, self.looks[100 + len(h)])))
-            else:
-                for k in range(len(MASKS)):
-                    own[k].append((i, seeds(h, self.looks[k])))
-        self.tables = {}
-        for k, found in own.items():
-            found = [(i, s) for i, s in found if len(s)]
-            if found:
-                s = np.concatenate([x for _, x in found])
-                item = np.concatenate([np.full(len(x), i) for i, x in found])
-                at = np.concatenate([np.arange(len(x)) for _, x in found])
-                order = np.argsort(s, kind="stable")
-                seen = np.zeros(1 << _FILTER_BITS, bool)
-                seen[s >> np.uint64(64 - _FILTER_BITS)] = True
-                self.tables[k] = (s[order], item[order], at[order], seen)
-
-    def hits(self, h: np.ndarray, wo: np.ndarray) -> np.ndarray:
-        """Different (text, item, diagonal) of the hits in a block of texts."""
-        found = []
-        for k, (known, item, at, seen) in self.tables.items():
-            s = seeds(h, self.looks[k])
-            p = np.flatnonzero(seen[s >> np.uint64(64 - _FILTER_BITS)])
-            lo, hi = np.searchsorted(known, s[p], "left"), np.searchsorted(known, s[p], "right")
-            p, lo, hi = (x[hi > lo] for x in (p, lo, hi))
-            doc = np.searchsorted(wo, p, "right") - 1
-            inside = p + self.looks[k][-1] < wo[doc + 1]
-            p, lo, hi, doc = (x[inside] for x in (p, lo, hi, doc))
-            n = hi - lo
-            j = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            found.append(np.stack([np.repeat(doc, n), item[j], np.repeat(p, n) - at[j]], 1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-
-    def verify(self, h: np.ndarray, first: int, past: int, item: int, diagonal: int) -> int:
-        """Equal tokens of the overlap of the item with the text at that place; 0 if it doesn't count."""
-        want = self.items[item]
-        a, b = max(first, diagonal), min(past, diagonal + len(want))
-        same = h[a:b] == want[a - diagonal : b - diagonal]
-        equal = int(same.sum())
-        if equal >= COVER * len(want) and equal >= min(LEAST, len(want)):
-            return equal
+        self.size = np.array([len(h) for h in items])
+        self.first = np.cumsum(self.size) - self.size
+        self.need = np.array([need(n) for n in self.size])
+        self.all = np.concatenate(items)
+        pairs = [seeds(h) for h in items]
+        _, code, n = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
+        _, token, m = np.unique(self.all, return_inverse=True, return_counts=True)
+        often, tokens_often = n[code], m[token]
+        seed, item, at, done = [], [], [], 0
+        for i, s in enumerate(pairs):
+            of_token = tokens_often[self.first[i] : self.first[i] + len(s) + 1]
+            # Commonest last, by pairs of the benchmark, then by the rarer token of the two.
+            order = np.lexsort((np.minimum(of_token[:-1], of_token[1:]), often[done : done + len(s)]))
+            kept = order[: len(s) - (min(sure(len(s) + 1), STRETCH - 1) - 1)]
+            seed.append(s[kept])
+            item.append(np.full(len(kept), i))
+            at.append(kept)
+            done += len(s)
+        seed, item, at = (np.concatenate(x) for x in (seed, item, at))
+        order = np.argsort(seed, kind="stable")
+        self.seed, self.item, self.at = seed[order], item[order], at[order]
+        self.seen = np.zeros(1 << _FILTER_BITS, bool)
+        self.seen[seed >> np.uint64(64 - _FILTER_BITS)] = True
+
+    def hits(self, h: np.ndarray, wo: np.ndarray):
+        """Arrays (text, item, diagonal) of the different hits in a block of texts, some at a time."""
+        if len(h) < 2:
+            return
+        s = seeds(h)
+        p = np.flatnonzero(self.seen[s >> np.uint64(64 - _FILTER_BITS)])
+        lo, hi = np.searchsorted(self.seed, s[p], "left"), np.searchsorted(self.seed, s[p], "right")
+        doc = np.searchsorted(wo, p, "right") - 1
+        real = (hi > lo) & (p + 1 < wo[doc + 1])
+        p, lo, hi, doc = (x[real] for x in (p, lo, hi, doc))
+        total = np.cumsum(hi - lo)
+        a = 0
+        while a < len(p):
+            b = max(a + 1, int(np.searchsorted(total, total[a] - (hi[a] - lo[a]) + HITS_AT_ONCE, "right")))
+            n = hi[a:b] - lo[a:b]
+            j = np.repeat(lo[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            text, item, diagonal = np.repeat(doc[a:b], n), self.item[j], np.repeat(p[a:b], n) - self.at[j]
+            order = np.lexsort((diagonal, item, text))
+            text, item, diagonal = text[order], item[order], diagonal[order]
+            new = np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])))
+            yield text[new], item[new], diagonal[new]
+            a = b
+
+    def overlaps(self, h: np.ndarray, wo: np.ndarray):
+        """(text, item, equal tokens) of the overlaps that count, some perhaps more than once."""
+        for texts, items, diagonals in self.hits(h, wo):
+            first, past = np.maximum(wo[texts], diagonals), np.minimum(wo[texts + 1], diagonals + self.size[items])
+            total = np.cumsum(past - first)
+            a = 0
+            while a < len(texts):
+                b = max(a + 1, int(np.searchsorted(total, total[a] - (past[a] - first[a]) + COMPARED_AT_ONCE, "right")))
+                n = past[a:b] - first[a:b]
+                start = np.cumsum(n) - n
+                at = np.repeat(first[a:b] - start, n) + np.arange(n.sum())
+                same = h[at] == self.all[at + np.repeat(self.first[items[a:b]] - diagonals[a:b], n)]
+                equal = np.add.reduceat(same, start, dtype=np.int64)
+                enough = equal >= self.need[items[a:b]]
+                for k in np.flatnonzero(enough | (equal >= STRETCH)):
+                    if enough[k] or self._stretch(same[start[k] : start[k] + n[k]]):
+                        yield int(texts[a + k]), int(items[a + k]), int(equal[k])
+                a = b
+
+    @staticmethod
+    def _stretch(same: np.ndarray) -> bool:
         run = np.concatenate(([0], np.cumsum(np.where(same, 1, -1))))
-        return equal if (run - np.minimum.accumulate(run)).max() >= STRETCH else 0
+        return bool((run - np.minimum.accumulate(run)).max() >= STRETCH)
 
 
 def _hits(docs: DataFrame, index: Index) -> DataFrame:
@@ -129,12 +153,10 @@ def _hits(docs: DataFrame, index: Index) -> DataFrame:
     def run(batch: pa.RecordBatch):
         ix, rows, items, equal = shared.value, [], [], []
         for h, wo, first in tokens(batch.column(1)):
-            for doc, item, diagonal in ix.hits(h, wo):
-                n = ix.verify(h, int(wo[doc]), int(wo[doc + 1]), int(item), int(diagonal))
-                if n:
-                    rows.append(first + int(doc))
-                    items.append(ix.ids[item])
-                    equal.append(n)
+            for doc, item, n in ix.overlaps(h, wo):
+                rows.append(first + doc)
+                items.append(ix.ids[item])
+                equal.append(n)
         if rows:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(items, pa.int64()), pa.array(equal, pa.int32())], ["doc_id", "item_id", "matched"])
 

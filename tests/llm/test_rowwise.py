@@ -251,6 +251,49 @@ def test_decontamination(spark, odd, none):
     assert not any(r["contaminated"] for r in decontaminate.contamination(odd, bench.limit(0)).collect())
 
 
+def overlaps_that_count(text, item):
+    """Most equal tokens of an overlap that counts, tried at every offset; 0 if there is none."""
+    best = 0
+    for d in range(1 - len(item), len(text)):
+        same = [0 <= d + k < len(text) and text[d + k] == w for k, w in enumerate(item)]
+        most = now = 0
+        for k, x in enumerate(same):
+            if 0 <= d + k < len(text):
+                now = max(0, now + (1 if x else -1))
+                most = max(most, now)
+        if sum(same) * 10 >= 6 * len(item) and sum(same) >= min(9, len(item) - 1) or most >= 12:
+            best = max(best, sum(same))
+    return best
+
+
+def test_no_overlap_that_counts_is_missed():
+    assert all(decontaminate.sure(n) >= 1 for n in range(decontaminate.SHORTEST, 2000))
+    rng = np.random.default_rng(5)
+    for _ in range(1500):
+        n = int(rng.integers(5, 60))
+        items = [rng.integers(1, (40, 10**6)[rng.integers(0, 2)], n).astype(np.uint64) for _ in range(2)]
+        index = decontaminate.Index([1, 2], items)
+        text = items[0].copy()
+        spoilt = np.arange(n) % rng.integers(2, 6) == 0 if rng.random() < 0.4 else rng.permutation(n) < rng.integers(0, n // 2 + 1)
+        text[spoilt] = rng.integers(10**7, 10**8, spoilt.sum())
+        text = np.concatenate((rng.integers(1, 40, rng.integers(0, 9)).astype(np.uint64), text[int(rng.integers(0, 4)) :]))
+        got = {}
+        for _, item, equal in index.overlaps(text, np.array([0, len(text)])):
+            got[item] = max(equal, got.get(item, 0))
+        want = {i: overlaps_that_count(list(text), list(x)) for i, x in enumerate(items)}
+        assert got == {i: k for i, k in want.items() if k}
+
+
+def test_every_fourth_token_replaced(spark):
+    item = [f"t{k}" for k in range(40)]
+    short = [[f"s{k}x{j}" for j in range(k)] for k in range(5, 10)]
+    bench = spark.createDataFrame([(0, " ".join(item)), *((len(s), " ".join(s)) for s in short)], "item_id long, text string")
+    docs = [(0, " ".join("new" if k % 4 == 0 else w for k, w in enumerate(item)))]
+    docs += [(len(s), " ".join(["a", "b", *s[:2], "new", *s[3:], "c"])) for s in short]
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {k: [k] for k in (0, 5, 6, 7, 8, 9)}
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     items = [(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(40)]
     docs = spark.createDataFrame([(k, f"a b {t} c") for k, t in items], "doc_id long, text string")

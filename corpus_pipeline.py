@@ -17,28 +17,44 @@ from strandlog.llm import common, decontaminate, mixing, near_dedup, packing, qu
 NEAR = 80
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the ids of ``rejected``; a null id matches none."""
-    ids = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(ids, docs["doc_id"] == ids["_rejected"], "left_anti").select(*docs.columns)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``, the id and two hashes of the text: rows of one key are judged alike."""
+    return docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), F.reverse("text")).alias("b")))
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key, null ids too, isn't among the ids of ``rejected``."""
+    keys = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
+    return keyed.join(keys, keyed["_key"] == keys["_rejected"], "left_anti").drop("_key")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what the classifier predicts to be good."""
-    judged = quality_classifier.classify(docs, common.read(spark, sf_dir, "labels"))
-    return _without(docs, judged.where("predicted = 0"))
+    keyed = _keyed(docs)
+    stats = common.materialize(quality_classifier.stats_table(keyed, id_col="_key"), "quality-stats")
+    own = F.col("doc_id.doc_id")
+    model = quality_classifier.fit(stats.select(own.alias("doc_id"), common.held_out(own).alias("held_out"), "stats"), common.read(spark, sf_dir, "labels"))
+    return _without(keyed, quality_classifier.score(stats, model).where("predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each component of near copies: the one of smallest id, in one row."""
-    judged = near_dedup.near_duplicates(docs, NEAR)
-    return _without(docs, judged.where("not kept"))
+    """Keep one document of each component of near copies: the one of smallest id, in one row.
+
+    Rows are compared by a number of their own, so texts that share an id are judged each for itself.
+    Rows with a null id stay.
+    """
+    rows = common.materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    judged = near_dedup.near_duplicates(rows.where("doc_id is not null"), NEAR, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    first = judged.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
+    kept = first.select("first._row").unionByName(rows.where("doc_id is null").select("_row"))
+    return rows.join(kept, "_row", "left_semi").drop("_row")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark passage."""
-    judged = decontaminate.contamination(docs, common.read(spark, sf_dir, "benchmark"))
-    return _without(docs, judged.where("contaminated"))
+    keyed = _keyed(docs)
+    judged = decontaminate.contamination(keyed, common.read(spark, sf_dir, "benchmark"), id_col="_key")
+    return _without(keyed, judged.where("contaminated"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

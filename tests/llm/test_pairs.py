@@ -225,3 +225,33 @@ def test_pipeline_drops_near_copies_from_80(spark):
     table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r["doc_id"] for r in pipeline.near_duplicates(spark, table, "").collect()}
     assert kept == {i for i, _ in docs if not 100 <= i < 200}
+
+
+def test_pipeline_judges_rows(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(13)
+    text = [" ".join(f"w{k}" for k in rng.integers(0, 10**6, 60)) for _ in range(6)]
+    spark.createDataFrame([(1, text[0])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = lambda rows: spark.createDataFrame([(i, t, None, None, None) for i, t in rows], kind)
+    # A null id with a passage goes and a clean one stays; of one id only the text with the passage goes.
+    rows = [(None, "x " + text[0]), (None, text[1]), (1, text[0]), (1, text[2]), (2, text[3]), (2, text[3])]
+    out = pipeline.decontamination(spark, docs(rows), str(tmp_path))
+    assert out.columns == docs(rows).columns
+    assert sorted(r["text"] for r in out.collect()) == sorted([text[1], text[2], text[3], text[3]])
+    # A row given twice stays once; a near copy doesn't take another text of its id with it.
+    rows = [(5, text[3]), (5, text[3]), (3, text[4]), (7, text[4] + " tail"), (7, text[5]), (None, text[5])]
+    out = pipeline.near_duplicates(spark, docs(rows), str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out) == sorted([(5, text[3]), (3, text[4]), (7, text[5]), (0, text[5])])
+
+
+def test_pipeline_drops_bad_rows_without_id(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(14)
+    good = lambda: " ".join(rng.choice([f"word{k}" for k in range(300)], 60))
+    bad = lambda: " ".join(rng.choice(["$$$", "###", "|||", "%%"], 60))
+    rows = [(i, good() if i % 2 else bad()) for i in range(400)] + [(None, bad()), (None, good())]
+    table = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = pipeline.quality(spark, table, str(tmp_path)).collect()
+    assert [r["text"] for r in out if r["doc_id"] is None] == [rows[-1][1]] and sum(r["doc_id"] is not None for r in out) == 200

@@ -97,11 +97,11 @@ class Lattice:
     piece: np.ndarray  # MAX_PIECE x bytes; the id, or n for none
 
     @classmethod
-    def of(cls, words: list[bytes], pieces: Pieces) -> tuple[Lattice, np.ndarray]:
+    def of(cls, words: list[bytes], pieces: Pieces, before: bytes = b" ") -> tuple[Lattice, np.ndarray]:
         """The lattice of the words, each after a space, and the order they came to be in."""
-        size = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+        size = np.fromiter((len(w) + len(before) for w in words), np.int64, len(words))
         order = np.argsort(-size, kind="stable")
-        data = np.frombuffer(b"".join(b" " + words[i] for i in order) + bytes(MAX_PIECE), np.uint8)
+        data = np.frombuffer(b"".join(before + words[i] for i in order) + bytes(MAX_PIECE), np.uint8)
         size = size[order]
         end = np.cumsum(size)
         n = len(data) - MAX_PIECE
@@ -200,10 +200,22 @@ class Model:
         return out
 
 
-#: Longest word cut for expectation-maximisation, where states of all bytes are kept unscaled.
+#: Bytes of a word learned together in expectation-maximisation, where states of all bytes are kept unscaled.
 _FIT_WORD = 48
 
 
+def fit_parts(word: bytes) -> list[bytes]:
+    """A word in successive parts of up to _FIT_WORD bytes that end between characters."""
+    out, at = [], 0
+    while len(word) - at > _FIT_WORD:
+        to = at + _FIT_WORD
+        while to > at + _FIT_WORD - 4 and word[to] & 0xC0 == 0x80:
+            to -= 1
+        out.append(word[at:to])
+        at = to
+    return [*out, word[at:]]
+
+
 def fit(docs: DataFrame, pieces: list[bytes], fit_docs: int = FIT_DOCS, rounds: int = ROUNDS) -> Model:
     """Learn from rows with text and language that are not held out: about ``fit_docs`` a language."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~common.held_out(F.col("doc_id")))
@@ -229,18 +241,25 @@ def fit(docs: DataFrame, pieces: list[bytes], fit_docs: int = FIT_DOCS, rounds:
     p = np.zeros((look.n + 1, len(langs)))
     for k, name in enumerate(langs):
         mine = table[table["lang"] == name].sort_values("word")
-        words = [bytes(w)[:_FIT_WORD] for w in mine["word"]]
-        lattice, order = Lattice.of(words, look)
-        weight = mine["n"].to_numpy(float)[order] if len(words) else np.zeros(0)
+        parts = [fit_parts(bytes(w)) for w in mine["word"]]
+        n = mine["n"].to_numpy(float)
+        # First parts come after a space, the others follow them.
+        later = [w for x in parts for w in x[1:]]
+        lattices = []
+        for words, weight, before in (([x[0] for x in parts], n, b" "), (later, np.repeat(n, [len(x) - 1 for x in parts]), b"")):
+            if words:
+                lattice, order = Lattice.of(words, look, before)
+                lattices.append((lattice, weight[order]))
         # Start: how often each piece stands in the words, longer pieces preferred.
         seen = np.zeros(look.n + 1)
-        per_byte = np.repeat(weight, lattice.size)
-        for length in range(1, MAX_PIECE + 1):
-            seen += np.bincount(lattice.piece[length - 1], per_byte, look.n + 1) * length**2 if len(words) else 0
+        for lattice, weight in lattices:
+            per_byte = np.repeat(weight, lattice.size)
+            for length in range(1, MAX_PIECE + 1):
+                seen += np.bincount(lattice.piece[length - 1], per_byte, look.n + 1) * length**2
         seen = seen[:-1] + 0.01
         for _ in range(rounds):
             p[:-1, k] = seen / seen.sum()
-            seen = lattice.expected(p[:, k], weight) + 0.01
+            seen = sum((lattice.expected(p[:, k], weight) for lattice, weight in lattices), np.full(look.n, 0.01))
         p[:-1, k] = seen / seen.sum()
     return Model(langs, look, p)
 

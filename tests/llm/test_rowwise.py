@@ -222,6 +222,20 @@ def test_long_words_do_not_underflow():
     assert np.allclose(lattice.forward(p), 5001 * np.log(1e-3))
 
 
+def test_long_words_are_learned_whole(spark):
+    rng = np.random.default_rng(3)
+    start = "語" * 20
+    kind = {"xa": "山川水火", "xb": "日月木金"}  # the languages differ beyond 48 bytes only
+    text = lambda k: start + "".join(rng.choice(list(kind[k]), 30))
+    docs = [(i, text(k), k) for i, k in enumerate(["xa", "xb"] * 60)]
+    got = language_id.identify(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
+    want = {i: k for i, _, k in docs}
+    assert all(r["lang_pred"] == want[r["doc_id"]] for r in got)
+    word = "aé語\U0001f600".encode() * 40
+    parts = language_id.fit_parts(word)
+    assert b"".join(parts) == word and all(x.decode() and len(x) <= 48 for x in parts) and language_id.fit_parts(b"") == [b""]
+
+
 def test_languages(spark, odd, none):
     rng = np.random.default_rng(2)
     vocab = {"en": "the and with this river house water bright".split(), "de": "der und mit dieser fluss haus wasser hell".split()}

@@ -50,13 +50,26 @@ def encode_integer(value: Column, prefix: str = "value") -> Column:
     return _checked(value, plain & number.between(-SAFE_INTEGER, SAFE_INTEGER), number, _raise(prefix, "not a safe integer", value))
 
 
-def encode_bigint(value: Column, prefix: str = "value") -> Column:
+def _digits(value: Column, prefix: str, kind: T.DataType | None) -> Column:
+    """The value's own digits. A floating number is taken only if it holds them all: a whole one within 2**53 - 1,
+    without a fraction, or one with a fraction; a larger whole one has lost digits before it came here.
+    """
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        number = value.cast("double")
+        whole = number == F.floor(number)
+        text = F.when(whole, number.try_cast("bigint").cast("string")).otherwise(value.cast("string"))
+        finite = ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
+        return _checked(value, finite & (~whole | (F.abs(number) <= SAFE_INTEGER)), text, _raise(prefix, "digits were lost in a floating number", value))
     return guard_size(value.cast("string"), prefix)
 
 
-def encode_numeric(value: Column, prefix: str = "value") -> Column:
+def encode_bigint(value: Column, prefix: str = "value", kind: T.DataType | None = None) -> Column:
+    return _digits(value, prefix, kind)
+
+
+def encode_numeric(value: Column, prefix: str = "value", kind: T.DataType | None = None) -> Column:
     """Decimal text as it is: digits are neither rounded nor rescaled, and never pass through a double."""
-    return guard_size(value.cast("string"), prefix)
+    return _digits(value, prefix, kind)
 
 
 def encode_real(value: Column, prefix: str = "value") -> Column:
@@ -65,10 +78,12 @@ def encode_real(value: Column, prefix: str = "value") -> Column:
     return _checked(value, number.isNotNull() & finite, number, _raise(prefix, "not a finite number", value))
 
 
-def encode_boolean(value: Column, prefix: str = "value") -> Column:
-    """1 or 0, of true, false, 't', 'f', 'true', 'false', 1 and 0 only."""
-    text = value.cast("string")
-    return _checked(value, text.isin("true", "t", "1", "false", "f", "0"), F.when(text.isin("true", "t", "1"), F.lit(1)).otherwise(F.lit(0)), _raise(prefix, "not a boolean", value))
+def encode_boolean(value: Column, prefix: str = "value", kind: T.DataType | None = None) -> Column:
+    """1 or 0, of true, false, the texts 't', 'f', 'true', 'false', and the numbers 1 and 0 only."""
+    text, yes, no = value.cast("string"), ["true", "t"], ["false", "f"]
+    if isinstance(kind, T.NumericType):
+        text, yes, no = value.cast("double"), [1.0], [0.0]
+    return _checked(value, text.isin(*yes, *no), F.when(text.isin(*yes), F.lit(1)).otherwise(F.lit(0)), _raise(prefix, "not a boolean", value))
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -114,8 +129,10 @@ def encode(value: Column, logical: str, prefix: str = "value", kind: T.DataType
         return encode_json(value, prefix, kind)
     if logical == "blob":
         return encode_blob(value, prefix, kind)
-    plain = {"text": encode_text, "integer": encode_integer, "bigint": encode_bigint, "numeric": encode_numeric, "real": encode_real, "boolean": encode_boolean}
-    return plain[logical](value, prefix)
+    typed = {"bigint": encode_bigint, "numeric": encode_numeric, "boolean": encode_boolean}
+    if logical in typed:
+        return typed[logical](value, prefix, kind)
+    return {"text": encode_text, "integer": encode_integer, "real": encode_real}[logical](value, prefix)
 
 
 #: Storage types of the replica.

@@ -7,6 +7,7 @@ from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandlog.spec import TableSpec
@@ -50,10 +51,16 @@ def cutoff(df: DataFrame, spec: TableSpec, now: datetime | str) -> Column:
     return quoted(spec.cursor_column) <= typed(df, spec.cursor_column, now) - lag
 
 
-def changes(df: DataFrame, spec: TableSpec, cursor: Cursor | None, now: datetime | str) -> DataFrame:
-    """All rows after the cursor and up to the cutoff, projected, in no order: a page without an end."""
+def changes(df: DataFrame, spec: TableSpec, cursor: Cursor | None, now: datetime | str, overlap_s: float = 0.0) -> DataFrame:
+    """All rows after the cursor and up to the cutoff, projected, in no order: a page without an end.
+
+    With ``overlap_s``, rows from so many seconds before the cursor on.
+    """
     rows = df.where(cutoff(df, spec, now))
-    if cursor is not None:
+    if cursor is not None and overlap_s:
+        back = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(overlap_s).cast("decimal(18,6)"))
+        rows = rows.where(quoted(spec.cursor_column) >= typed(df, spec.cursor_column, cursor.updated_at) - back)
+    elif cursor is not None:
         x, y = typed(df, spec.cursor_column, cursor.updated_at), typed(df, spec.primary_key, cursor.pk)
         rows = rows.where(after(quoted(spec.cursor_column), quoted(spec.primary_key), x, y))
     return project(rows, spec)
@@ -87,8 +94,10 @@ def key_page(df: DataFrame, spec: TableSpec, after_pk: Any = None, limit: int =
 
 
 def key_range(keys: DataFrame, column: str, low: Any, high: Any) -> DataFrame:
-    """Keys of (low, high]; low None means from the start."""
-    rows = keys.where(quoted(column) <= typed(keys, column, high))
+    """Keys of (low, high]; None means without that end."""
+    rows = keys
+    if high is not None:
+        rows = rows.where(quoted(column) <= typed(keys, column, high))
     if low is not None:
         rows = rows.where(quoted(column) > typed(keys, column, low))
     return rows.select(quoted(column).alias("pk"))
@@ -97,3 +106,19 @@ def key_range(keys: DataFrame, column: str, low: Any, high: Any) -> DataFrame:
 def high_water_mark(df: DataFrame, spec: TableSpec) -> DataFrame:
     """n as text, and the greatest change time."""
     return df.agg(F.count(F.lit(1)).cast("string").alias("n"), F.max(quoted(spec.cursor_column)).alias("hwm"))
+
+
+def page_numbers(df: DataFrame, spec: TableSpec, folder: str, size: int | None = None) -> DataFrame:
+    """pk and page of every row, the page that a walk in (cursor, key) order would find it in.
+
+    Rows are dealt to ranges of that order and written once to ``folder``, a shared one; each range is numbered by
+    itself and moved up by the sizes of the ranges before it, a list of one number for each range.
+    """
+    order = ["updated_at", "pk"]
+    rows = df.select(quoted(spec.cursor_column).alias("updated_at"), quoted(spec.primary_key).alias("pk"))
+    rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()).write.parquet(folder)
+    kept = df.sparkSession.read.parquet(folder)
+    sizes = kept.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    shift = sizes.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
+    numbered = kept.withColumn("k", F.row_number().over(W.partitionBy("part").orderBy(*order)))
+    return numbered.join(F.broadcast(shift), "part").select("pk", F.ceil((F.col("before") + F.col("k")) / (size or spec.page_size)).cast("long").alias("page"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,11 @@ from strandlog.functions.scalars import cursor_of, lag_seconds, stuck
 from strandlog.operators import flatten, merge, pull, reconcile
 from strandlog.operators.pull import Cursor
 from strandlog.plans import status
-from strandlog.sources.store import fold_counters
-from strandlog.spec import SyncColumn, TableSpec
+from strandlog.plans.run import Budget, reconcile_table, run_sync, run_table
+from strandlog.sources.scratch import scratch_path
+from strandlog.sources.store import Store, SyncState
+from strandlog.spec import SoftDelete, SyncColumn, TableSpec
+from strandlog.streaming.follow import commit_batch
 
 NOW = "2030-01-01 00:00:00"
 ORDERS = TableSpec(
@@ -37,6 +41,24 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _store(spark: SparkSession) -> Store:
+    """A store of its own in the shared folder."""
+    return Store(spark, scratch_path(spark, "replica"))
+
+
+def _fine(result):
+    if result.error:
+        raise RuntimeError(result.error)
+    return result
+
+
+def _synced(spark: SparkSession, source: DataFrame, spec: TableSpec, mode: str = "bulk") -> Store:
+    """A store after one whole run."""
+    store = _store(spark)
+    _fine(run_table(store, spec, source, Budget(), mode=mode))
+    return store
+
+
 def _tie(orders: DataFrame) -> Cursor:
     top = orders.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("k")).where("n > 1").orderBy(F.desc("n"), "o_orderdate").limit(1).collect()[0]
     return Cursor(top["o_orderdate"], top["k"])
@@ -106,14 +128,8 @@ def next_cursor(spark, d):
 
 @query("SELECT o_orderkey, CAST(ceil(row_number() OVER (ORDER BY o_orderdate, o_orderkey) / 500.0) AS BIGINT) AS page FROM orders")
 def page_numbering(spark, d):
-    """The page of each row, without walking pages: rows before its date, and its place among its date's rows."""
-    from pyspark.sql import Window as W
-
-    orders = _t(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    by_date = orders.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("n"))
-    before = by_date.select("o_orderdate", (F.sum("n").over(W.orderBy("o_orderdate")) - F.col("n")).alias("before"))
-    place = orders.withColumn("k", F.row_number().over(W.partitionBy("o_orderdate").orderBy("o_orderkey")))
-    return place.join(before, "o_orderdate").select("o_orderkey", F.ceil((F.col("before") + F.col("k")) / 500).cast("long").alias("page"))
+    """The page of each row, without walking pages."""
+    return pull.page_numbers(_t(spark, d, "orders"), ORDERS, scratch_path(spark, "pages")).withColumnRenamed("pk", "o_orderkey")
 
 
 @query("SELECT event_id AS pk FROM events ORDER BY 1 LIMIT 1000")
@@ -143,7 +159,7 @@ def high_water_mark(spark, d):
 
 @query("SELECT CAST(count(*) AS BIGINT) AS n FROM orders")
 def replica_count(spark, d):
-    return _t(spark, d, "orders").agg(F.count(F.lit(1)).alias("n"))
+    return _synced(spark, _t(spark, d, "orders"), ORDERS).replica(ORDERS).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT event_id, event_type FROM events WHERE event_id IN (1, 5, 9, 77, 1000)")
@@ -318,19 +334,42 @@ def upsert_then_delete_fold(spark, d):
 @query(f"SELECT CAST(count(*) FILTER (WHERE o_orderkey % 4 <> 0) AS BIGINT) AS kept, CAST(max(o_orderkey) FILTER (WHERE o_orderdate = m) AS BIGINT) AS cursor_pk, {ISO.format('max(o_orderdate)')} AS cursor_at FROM orders, (SELECT max(o_orderdate) AS m FROM orders)")
 def map_row_drop(spark, d):
     """Rows that a mapping drops don't hold the cursor back: it comes from the unmapped page."""
-    raw = pull.changes(_t(spark, d, "orders"), ORDERS, None, NOW)
-    top = pull.last_of(raw, "o_orderdate", "o_orderkey")
-    kept = raw.where("o_orderkey % 4 <> 0").agg(F.count(F.lit(1)).alias("kept"))
-    return kept.crossJoin(top).select("kept", F.col("pk").alias("cursor_pk"), F.date_format("updated_at", E.ISO).alias("cursor_at"))
+    spec = replace(ORDERS, map_rows=lambda df: df.where("o_orderkey % 4 <> 0"))
+    store = _synced(spark, _t(spark, d, "orders"), spec)
+    cursor = F.lit(store.state(spec.key).cursor_pk).cast("long").alias("cursor_pk"), F.lit(store.state(spec.key).cursor_updated_at).alias("cursor_at")
+    return store.replica(spec).agg(F.count(F.lit(1)).alias("kept")).select("kept", *cursor)
 
 
-@query(_LWW_SQL.replace("seq DESC", "seq DESC"))
+@query(f"SELECT o_orderkey, {_D} AS o_orderdate, o_orderstatus, m AS mode FROM orders, (VALUES ('bulk'), ('paged')) AS v(m)")
 def bulk_equals_paged(spark, d):
-    """The replica after many small batches is that after one: batches by key, merged in order of arrival."""
+    """Whole runs in both modes through the commit log: every row of both replicas."""
     rows, spec = _small(spark, d)
-    changed = _changed(rows)
-    parts = [E.encode_frame(changed.where(F.col("o_orderkey") % 4 == k), spec) for k in range(4)]
-    return merge.upsert(E.encode_frame(rows, spec), parts, "o_orderkey", "o_orderdate")
+    spec = replace(spec, page_size=5000)
+    found = [_synced(spark, rows, spec, mode).replica(spec).withColumn("mode", F.lit(mode)) for mode in ("bulk", "paged")]
+    return found[0].unionByName(found[1])
+
+
+@query(_LWW_SQL)
+def replica_after_changes(spark, d):
+    """A load and then a batch of newer, older and equal versions: the store's own merge on read."""
+    rows, spec = _small(spark, d)
+    store = _synced(spark, rows, spec)
+    commit_batch(store, spec, _changed(rows), 0)
+    return store.replica(spec)
+
+
+#: Versions of one micro-batch: every order is deleted, and every third born again a day later.
+@query(f"SELECT o_orderkey, {ISO.format('o_orderdate + INTERVAL 2 DAY')} AS o_orderdate, 'again' AS o_orderstatus FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, {_D}, o_orderstatus FROM orders WHERE o_orderkey % 2 <> 0 AND o_orderkey % 3 <> 0")
+def purge_within_batch(spark, d):
+    """A replica, then one batch in which even keys are deleted and multiples of three come back."""
+    rows = _t(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", F.lit(None).cast("timestamp_ntz").alias("gone"))
+    spec = replace(ORDERS, columns=(SyncColumn("o_orderkey", "integer"), SyncColumn("o_orderdate", "timestamp"), SyncColumn("o_orderstatus"), SyncColumn("gone", "timestamp")), soft_delete=SoftDelete("gone", "purge"))
+    store = _synced(spark, rows, spec)
+    day = lambda n: F.col("o_orderdate") + F.expr(f"INTERVAL {n} DAY")
+    dead = rows.where("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0").withColumn("gone", F.col("o_orderdate")).withColumn("o_orderdate", day(1))
+    born = rows.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("again")).withColumn("o_orderdate", day(2))
+    commit_batch(store, spec, born.unionByName(dead), 0)
+    return store.replica(spec).select("o_orderkey", "o_orderdate", "o_orderstatus")
 
 
 # -- reconcile ---------------------------------------------------------------------------------------------
@@ -361,6 +400,43 @@ def reconcile_step(spark, d):
     return reconcile.orphans_in_range(events, _remaining(events), "event_id", "event_id", 50, 250)
 
 
+def _walked(spark, d, budget=None, **options):
+    """The replica of all events after a reconcile against those that are left, and what came of it."""
+    events = _t(spark, d, "events")
+    store = _synced(spark, events, EVENTS)
+    left = _remaining(events)
+    return store, _fine(reconcile_table(store, EVENTS, lambda: left, budget=budget, **options))
+
+
+@query(f"SELECT event_id, false AS walking, CAST((SELECT count(*) FROM events WHERE event_id NOT IN {_LEFT_SQL}) AS BIGINT) AS deleted FROM events WHERE event_id IN {_LEFT_SQL}")
+def reconcile_run(spark, d):
+    """A whole reconcile through the log: every key of the replica that is left."""
+    store, result = _walked(spark, d)
+    walking = store.state(EVENTS.key).reconcile_cursor_pk is not None
+    return store.replica(EVENTS).select("event_id", F.lit(walking).alias("walking"), F.lit(result.deleted).cast("long").alias("deleted"))
+
+
+_WALK_SQL = f"(SELECT max(event_id) FROM (SELECT event_id FROM events WHERE event_id IN {_LEFT_SQL} ORDER BY 1 LIMIT 400))"
+
+
+@query(f"SELECT event_id, 'partial' AS status, CAST({_WALK_SQL} AS VARCHAR) AS reconcile_cursor_pk FROM events WHERE event_id IN {_LEFT_SQL} OR event_id > {_WALK_SQL}")
+def reconcile_walk_stopped(spark, d):
+    """A walk of 200 keys a step that its budget stops after two steps: the replica, and where the walk stands."""
+    store, result = _walked(spark, d, Budget(batches=2), mode="walk", keys_per_step=200)
+    return store.replica(EVENTS).select("event_id", F.lit(result.status).alias("status"), F.lit(store.state(EVENTS.key).reconcile_cursor_pk).alias("reconcile_cursor_pk"))
+
+
+@query(f"SELECT event_id, 'ok' AS status, true AS reconciled FROM events WHERE event_id IN {_LEFT_SQL}")
+def reconcile_walk_resumed(spark, d):
+    """The same walk taken up again until it ends."""
+    events = _t(spark, d, "events")
+    store, result = _walked(spark, d, Budget(batches=2), mode="walk", keys_per_step=200)
+    left = _remaining(events)
+    result = _fine(reconcile_table(store, EVENTS, lambda: left, "walk", keys_per_step=20_000))
+    state = store.state(EVENTS.key)
+    return store.replica(EVENTS).select("event_id", F.lit(result.status).alias("status"), F.lit(state.reconciled_at is not None and state.reconcile_cursor_pk is None).alias("reconciled"))
+
+
 @query(f"SELECT CAST((SELECT count(*) FROM {_LEFT_SQL}) AS BIGINT) AS source_rows, (SELECT {ISO.format('max(ts)')} FROM events WHERE event_id IN {_LEFT_SQL}) AS source_hwm, CAST((SELECT count(*) FROM events) AS BIGINT) AS replica_rows, false AS in_parity")
 def parity_check(spark, d):
     events = _t(spark, d, "events")
@@ -374,9 +450,12 @@ _STATES = [("a", "2029-12-31T23:59:00.500000Z", "ok", "2029-12-31T23:59:30.000Z"
 
 
 def _status(spark):
-    specs = spark.createDataFrame([("a",), ("b",), ("c",), ("z",)], "table_key string")
-    states = spark.createDataFrame(_STATES, "table_key string, cursor_updated_at string, last_run_status string, last_run_started_at string")
-    return status.status_df(specs, states, F.lit("2030-01-01 00:00:00+00:00"))
+    """The status of four tables, of which three have states in a store's log."""
+    specs = status.spec_table(spark, [replace(ORDERS, key=k) for k in "abcz"]).select("table_key")
+    store = _store(spark)
+    for key, cursor, state, started in _STATES:
+        store.commit(store.head(key), SyncState(key, cursor_updated_at=cursor, last_run_status=state, last_run_started_at=started))
+    return status.status_df(specs, store.states(), F.lit("2030-01-01 00:00:00+00:00"))
 
 
 @query("SELECT * FROM (VALUES ('a', 'ok', false), ('b', 'running', true), ('c', 'running', false), ('z', NULL, true)) AS v(table_key, last_run_status, never_synced)")
@@ -400,30 +479,46 @@ def stuck_flag(spark, d):
     return _status(spark).select("table_key", "stuck")
 
 
-@query("SELECT event_type AS table_key, CAST(sum(n) AS BIGINT) AS rows_synced_total, CAST(arg_max(n, run) AS BIGINT) AS rows_synced_last_run, CAST(count(*) AS BIGINT) AS runs_total FROM (SELECT event_type, user_id % 7 AS run, sum(event_id % 50) AS n FROM events GROUP BY ALL) GROUP BY 1")
+@query("SELECT 'orders' AS table_key, CAST(count(*) + (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0) AS BIGINT) AS rows_synced_total, CAST((SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0) AS BIGINT) AS rows_synced_last_run, CAST(3 AS BIGINT) AS runs_total, CAST(1 AS BIGINT) AS full_sync_epoch FROM orders")
 def state_counters(spark, d):
-    commits = _t(spark, d, "events").select(F.col("event_type").alias("table_key"), (F.col("user_id") % 7).alias("run"), (F.col("event_id") % 50).alias("rows"))
-    return fold_counters(commits)
+    """Counters of the log after a load, a run without changes, a reset and a run of every fifth order."""
+    rows, spec = _small(spark, d)
+    store = _synced(spark, rows, spec)
+    _fine(run_table(store, spec, rows, Budget()))
+    store.reset(spec.key)
+    _fine(run_table(store, spec, rows.where("o_orderkey % 5 = 0"), Budget()))
+    return store.states().select("table_key", "rows_synced_total", "rows_synced_last_run", "runs_total", "full_sync_epoch")
 
 
-def _results(spark):
-    return spark.createDataFrame([("a", "ok"), ("b", "partial"), ("c", "error"), ("d", "error")], "table_key string, status string")
+def _results(spark, d):
+    """Results of one run: a has nothing to do, b is stopped after a page, c and d can't be opened."""
+    orders = _t(spark, d, "orders")
+    sources = {"a": orders.limit(0), "b": orders}
+    out = run_sync(spark, _store(spark), lambda s: sources[s.key], [replace(ORDERS, key=k) for k in "abcd"], budget_s=float("inf"), max_pages=1, mode="paged")
+    return spark.createDataFrame([(t.table_key, t.status) for t in out.tables], "table_key string, status string")
 
 
 @query("SELECT bool_or(s = 'partial') AS budget_exhausted FROM (VALUES ('ok'), ('partial'), ('error')) AS v(s)")
 def budget_exhausted(spark, d):
-    return status.budget_exhausted(_results(spark))
+    return status.budget_exhausted(_results(spark, d))
 
 
 @query("SELECT string_agg(t, ', ' ORDER BY t) FILTER (WHERE s = 'error') AS failed FROM (VALUES ('a', 'ok'), ('c', 'error'), ('d', 'error')) AS v(t, s)")
 def failed_tables(spark, d):
-    return status.failed_tables(_results(spark))
+    return status.failed_tables(_results(spark, d))
 
 
 @query("SELECT k, coalesce(new, old) AS reconciled_at FROM (VALUES (1, NULL, '2024'), (2, '2025', '2024'), (3, NULL, NULL)) AS v(k, new, old)")
 def reconciled_at_coalesce(spark, d):
-    rows = spark.createDataFrame([(1, None, "2024"), (2, "2025", "2024"), (3, None, None)], "k int, new string, old string")
-    return rows.select("k", F.coalesce("new", "old").alias("reconciled_at"))
+    """When tables were last reconciled: one that a stopped walk leaves as it was, one done now, one never."""
+    store, events = _store(spark), _t(spark, d, "events")
+    for k, old in ((1, "2024"), (2, "2024"), (3, None)):
+        spec = replace(EVENTS, key=str(k))
+        _fine(run_table(store, spec, events, Budget()))
+        head = store.head(spec.key)
+        store.commit(head, replace(head.state, reconciled_at=old))
+        _fine(reconcile_table(store, spec, lambda: events, "full" if k == 2 else "walk", budget=Budget(batches=1), keys_per_step=10, now=datetime(2025, 1, 1)))
+    return store.states().select(F.col("table_key").cast("int").alias("k"), F.substring("reconciled_at", 1, 4).alias("reconciled_at"))
 
 
 @query("SELECT event_id, event_id % 3 <> 0 AND event_id % 5 <> 0 AS has_cursor FROM events")
@@ -447,18 +542,15 @@ def flatten_events(spark, d):
     return flatten.flatten_events(items).select("timestamp", "channel", "event")
 
 
-@query("SELECT 'orders' AS table_key, CAST(count(*) AS BIGINT) AS n FROM orders")
-def replicate_end_to_end(spark, d):
-    """A whole run through the commit log: pull, encode, write, commit, read the replica back."""
-    import tempfile
+@query("SELECT CAST(event_id AS DOUBLE) AS timestamp, event_type AS channel, CASE WHEN event_id % 4 <> 0 THEN json_object('timestamp', CAST(event_id AS BIGINT), 'channel', event_type, 'event', user_id) END AS line FROM events WHERE event_id % 4 <> 0")
+def flatten_lines(spark, d):
+    """The JSON line of each nested event."""
+    one = F.struct(F.col("event_type").alias("channel"), F.col("user_id").alias("message"), F.col("event_id").alias("timestamp"))
+    items = _t(spark, d, "events").select(F.when(F.col("event_id") % 4 != 0, F.array(one)).alias("events"))
+    return flatten.flatten_events(items).select(F.col("timestamp").cast("double").alias("timestamp"), "channel", "line")
 
-    from strandlog.plans.run import Budget, run_table
-    from strandlog.sources.store import Store
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="strandlog-")
-    store = Store(spark, f"{shared.rstrip('/')}/replica-{spark.sparkContext.applicationId}-{id(d)}")
-    result = run_table(store, ORDERS, _t(spark, d, "orders"), Budget())
-    if result.error:
-        raise RuntimeError(result.error)
-    replica = store.replica(ORDERS)
-    return replica.agg(F.count(F.lit(1)).alias("n")).select(F.lit("orders").alias("table_key"), "n")
+@query(f"SELECT {_PAGE} FROM orders")
+def replicate_end_to_end(spark, d):
+    """A whole run through the commit log: pull, encode, write, commit, read every row of the replica back."""
+    return _synced(spark, _t(spark, d, "orders"), ORDERS).replica(ORDERS)

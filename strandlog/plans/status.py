@@ -42,31 +42,37 @@ def parity(source: DataFrame, replica: DataFrame, cursor: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Catalog:
-    """What a database knows beyond a schema: indexes (their columns, in order) and update triggers."""
+    """What a database knows beyond a schema: indexes (their columns, in order), update triggers, and columns.
+
+    ``columns``: name to (type, may be null); None where only the frame is asked.
+    """
 
     indexes: tuple[tuple[str, ...], ...] = ()
     has_update_trigger: bool = False
+    columns: dict[str, tuple[str, bool]] | None = None
 
 
 def preflight(df: DataFrame | None, spec: TableSpec, catalog: Catalog | None = None, check_nulls: bool = False) -> list[str]:
     """Problems that would break or slow the replication of a table, in order of severity; none is fine.
 
-    Index and trigger are only asked of a source that has a catalog.
+    Index and trigger are only asked of a source that has a catalogue (``sources.connect.read_catalog``).
     """
-    if df is None:
+    listed = catalog.columns if catalog else None
+    if (df is None and listed is None) or listed == {}:
         return [f"table {spec.schema}.{spec.source_table} does not exist"]
+    if listed is None:
+        listed = {f.name: ("timestamp" if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else f.dataType.simpleString(), f.nullable) for f in df.schema.fields}
     out = []
-    missing = [c.source for c in spec.columns if c.source not in df.columns]
+    missing = [c.source for c in spec.columns if c.source not in listed]
     if missing:
         out.append(f"missing columns: {', '.join(missing)}")
-    fields = {f.name: f for f in df.schema.fields}
     for what, name in (("primary key", spec.primary_key), ("cursor column", spec.cursor_column)):
         # Files don't promise NOT NULL, so there the rows are asked.
-        if name in fields and fields[name].nullable and (catalog is not None or (check_nulls and df.where(quoted(name).isNull()).limit(1).count())):
+        if name in listed and listed[name][1] and (catalog is not None or (check_nulls and df.where(quoted(name).isNull()).limit(1).count())):
             out.append(f"{what} {name} is nullable")
-    kind = fields[spec.cursor_column].dataType if spec.cursor_column in fields else None
-    if kind is not None and not isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        out.append(f"cursor column {spec.cursor_column} is {kind.simpleString()}, not a timestamp")
+    if spec.cursor_column in listed and not listed[spec.cursor_column][0].startswith("timestamp"):
+        out.append(f"cursor column {spec.cursor_column} is {listed[spec.cursor_column][0]}, not a timestamp")
+    fields = set(df.columns) if df is not None else set()
     if check_nulls and spec.primary_key in fields and df.groupBy(quoted(spec.primary_key)).count().where("count > 1").limit(1).count():
         out.append(f"primary key {spec.primary_key} is not unique")
     if catalog is not None:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -11,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandlog.sources.scratch import scratch_path
+
 #: White space that separates words, as a Java and RE2 character class.
 WHITE_CLASS = r"[\x20\x09-\x0D]"
 #: Largest table, in rows, that an operator hands to every executor. Checked before, never assumed.
@@ -21,33 +21,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir.
-
-    Only where that is unset, as in tests on one machine, a temporary folder is made.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        made = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = made.get() if made.isDefined() else None
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="strandlog-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage at files that every executor sees, so a lost executor costs a reread and not
-    a recomputation of all before. The files go when the session's JVM ends.
+    a recomputation of all before. The files go when ``free`` is called, or else when the session's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/strandlog/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete the files of materialized tables, of which all that is needed has been materialized in turn."""
+    for t in tables:
+        path = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t._scratch)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
@@ -76,20 +68,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-#: Bits of the filter that ``narrow`` sends to every executor: 16 MB at most, whatever the tables.
-FILTER_BITS = 1 << 27
+#: Bits of the filter that ``narrow`` sends to every executor: 32 MB at most, whatever the tables.
+FILTER_BITS = 1 << 28
 _BUCKET = 1 << 15  # bits of one bitmap
 
 
 def narrow(rows: DataFrame, members: DataFrame, col: str = "doc_id") -> DataFrame:
     """``rows`` without most of those whose id isn't in ``members``, decided where they are read.
 
-    A bitmap of id hashes of fixed size is broadcast, so a join that follows shuffles little but what it
-    keeps. Some other rows pass: the join decides.
+    A bitmap of id hashes, eight bits a member, is broadcast, so a join that follows shuffles little but what it
+    keeps. Some other rows pass: the join decides. With more members than the largest bitmap tells apart, all
+    rows pass.
     """
+    n = members.select(col).count()
+    if 2 * n > FILTER_BITS:
+        return rows
+    size = min(FILTER_BITS, max(_BUCKET, 1 << (8 * n).bit_length()))
 
     def keyed(df: DataFrame) -> DataFrame:
-        slot = F.pmod(F.xxhash64(F.col(col)), F.lit(FILTER_BITS))
+        slot = F.pmod(F.xxhash64(F.col(col)), F.lit(size))
         return df.withColumn("_bucket", F.floor(slot / _BUCKET).cast("int")).withColumn("_bit", (slot % _BUCKET).cast("int"))
 
     bits = keyed(members.select(col)).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))

@@ -28,7 +28,8 @@ def connected(links: DataFrame) -> DataFrame:
         # Small star: a node and its smaller neighbours go to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v")
-        now = common.materialize(small.where("u != v").distinct(), "stars")
+        before, now = now, common.materialize(small.where("u != v").distinct(), "stars")
+        common.free(before)
         key = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
         if key == state:
             break

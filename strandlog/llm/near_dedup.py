@@ -1,21 +1,23 @@
 """MinHash near-dedup with HyperMinHash sketches.
 
-1. ``sketch_table``: each text's distinct 5-word shingles fall into ``REGISTERS`` buckets by the top bits of
+1. ``sketch_table``: each text's distinct 5-word shingles fall into ``REGISTERS`` buckets, equal ranges of
    a 64-bit hash; a register is the leading-zero count and the next mantissa bits of its bucket's smallest
    hash. Texts with equal shingle sets are equal in a 128-bit fingerprint and are one class from then on.
 2. Bands of ``ROWS`` registers are keys. Empty registers borrow from other buckets in a fixed order, so a
    band of a short text is as selective as one of a long text.
-3. Members of a bucket are compared by their registers: the share of equal ones, less the expected number
-   of chance collisions of the compressed registers, estimates similarity. A bucket links what may reach
-   the threshold (``MARGIN`` standard errors below it) into *candidate clusters* by a spanning forest, so no
-   bucket gives more rows than members. A bucket of over ``BUCKET_ROWS`` members becomes one cluster unasked.
-4. Clusters come together on the full texts. Up to ``BLOCK`` members meet in one task; a larger cluster is cut
-   into blocks and each pair of blocks meets in a task. Intersections of all sets of a block pair are counted
-   exactly, and a spanning forest of the confirmed links goes out.
+3. Every member of a bucket is asked against the bucket's first one: by size and by registers (the share of equal
+   ones, less the expected number of chance collisions of the compressed registers, estimates similarity), and,
+   if these may reach the threshold (``MARGIN`` standard errors below it), on the full sets. That is an edge a
+   member, and what it links are components already, a large group of near copies as a rule one.
+4. What is left are pairs of a bucket in different components. Buckets that have such pairs are gone through by
+   their registers, ``BUCKET_ROWS`` members by as many others in a task, and a spanning forest of the pairs that may
+   link makes clusters. A cluster's members are laid into blocks of up to ``BLOCK`` texts or ``BLOCK_SHINGLES``
+   shingles, those of one component together, and each pair of blocks that holds two components meets in a task.
+   Intersections of all sets of a block pair are counted exactly, and a spanning forest of the links goes out.
 5. Connected components of the confirmed links are the result.
 
 Links are confirmed on full sets only, so the sketch decides what is compared and never what is linked. At
-the threshold a pair shares no band with a probability of about 3e-7.
+the threshold a pair shares no band with a probability of about 3e-7. There is no cap on members or partners.
 
 Defined cases: null and empty texts have no shingles, are linked with nothing and are kept; a text of fewer
 than five words is one shingle, the whole sequence; equal texts are one class and repeated ids are one
@@ -37,12 +39,11 @@ SHINGLE = 5
 THRESHOLD = 85  # per cent
 ROWS, BANDS = 6, 32
 REGISTERS = ROWS * BANDS
-_BUCKET_BITS = 8
-_BUCKETS = 1 << _BUCKET_BITS
 MANTISSA = 10
 MARGIN = 6.0
-BUCKET_ROWS = 20_000
-BLOCK = 256
+BUCKET_ROWS = 2048  # rows of a bucket that are compared with as many others in one task
+BLOCK, BLOCK_SHINGLES = 256, 1 << 21  # texts, and their shingles, of one side of a meeting
+STAR = 1024  # texts that meet one hub in a task
 COUNTED_AT_ONCE = 1 << 20  # shingles of a block pair that are sorted together
 
 #: For register j: the bucket it is filled from is the first of this order that isn't empty.
@@ -56,7 +57,6 @@ def _probe_order() -> np.ndarray:
 
 _ORDER = _probe_order()
 _EDGES = (np.arange(REGISTERS, dtype=np.float64) * (2.0**64 / REGISTERS)).astype(np.uint64)
-_WIDTH = np.uint64(2**64 // REGISTERS + 1)
 
 
 def registers(mins: np.ndarray, empty: np.ndarray) -> np.ndarray:
@@ -177,82 +177,151 @@ class _Forest:
         return i != j
 
 
-def bucket_links(key: np.ndarray, regs: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs that may link, for rows sorted by bucket key.
+def _may(regs: np.ndarray, size: np.ndarray, x, y, threshold: float) -> np.ndarray:
+    """Whether rows x and y may link: their sizes allow it, and so do their registers."""
+    near = np.minimum(size[x], size[y]) >= threshold * np.maximum(size[x], size[y]) - 1e-6
+    return near & may_link(regs[x], regs[y], threshold)
 
-    Small buckets are compared at every distance at once, over all buckets; in a large one each row is
-    compared with the rows that no link has reached yet.
+
+def bucket_links(key: np.ndarray, regs: np.ndarray, size: np.ndarray, label: np.ndarray, side: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of one key that may link, for rows sorted by key.
+
+    Pairs of one label are linked already. Rows have the side 0 or 1, and only pairs of both are asked,
+    or -1, and then all are. Small groups are compared at every distance at once, over all keys; in a
+    large one each row is compared with the rows that the forest hasn't joined to it yet.
     """
     n = len(key)
     new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-    size = np.repeat(np.diff(new), np.diff(new))
+    count = np.repeat(np.diff(new), np.diff(new))
     forest, links = _Forest(n), []
-    small = np.flatnonzero(size <= 32)
+    differ = lambda i, j: (label[i] != label[j]) & ((side[i] < 0) | (side[i] != side[j]))
+    small = np.flatnonzero(count <= 32)
     lag = 1
     while len(small):
         small = small[small + lag < n]
         small = small[key[small] == key[small + lag]]
-        for at in range(0, len(small), 8192):
-            i = small[at : at + 8192]
-            for x in i[may_link(regs[i], regs[i + lag], threshold)]:
+        ask = small[differ(small, small + lag)]
+        for at in range(0, len(ask), 8192):
+            i = ask[at : at + 8192]
+            for x in i[_may(regs, size, i, i + lag, threshold)]:
                 if forest.join(int(x), int(x) + lag):
                     links.append((int(x), int(x) + lag))
         lag += 1
     for a, b in zip(new[:-1], new[1:], strict=True):
         if b - a > 32:
-            label = np.arange(a, b)  # component of each row
-            for i in range(b - a):
-                other = np.flatnonzero(label != label[i])
-                if not len(other):
-                    break
-                hit = other[may_link(regs[a + other], regs[a + i][None, :], threshold)]
-                for c in np.unique(label[hit]):
-                    links.append((a + i, int(a + hit[label[hit] == c][0])))
-                    label[label == c] = label[i]
+            tree = np.arange(a, b)
+            for i in range(a, b):
+                other = a + np.flatnonzero((tree != tree[i - a]) & differ(np.arange(a, b), i))
+                if len(other):
+                    hit = other[_may(regs, size, other, np.full(len(other), i), threshold)]
+                    for t in np.unique(tree[hit - a]):
+                        links.append((i, int(hit[tree[hit - a] == t][0])))
+                        tree[tree == t] = tree[i - a]
     return links
 
 
-def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
-    """a, b: a forest of pairs of class representatives that the sketches can't tell apart."""
-    bands = reps.select("doc_id", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).where("n > 1")
-    # Which bands a row shares, then its registers once for each of them.
-    met = common.materialize(bands.join(shared, "band"), "near-bands")
-    hot = met.where(F.col("n") > BUCKET_ROWS).where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    rows = met.where(F.col("n") <= BUCKET_ROWS).select("band", "doc_id").join(reps.select("doc_id", "regs"), "doc_id")
-    rows = rows.repartition("band").sortWithinPartitions("band", "doc_id").select("band", "doc_id", "regs")
-
-    def run(batches):
-        held: list[pa.RecordBatch] = []
+def _whole_keys(batches, fn):
+    """``fn`` of tables that hold whole keys (the first column, sorted): the last key of a batch waits for the next."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(key, key[-1], "left"))
+        if cut:
+            yield fn(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            held = []
+        elif held and key[0] != held[-1].column(0)[0].as_py():
+            yield fn(pa.Table.from_batches(held))
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield fn(pa.Table.from_batches(held))
+
+
+def _pair_schema(kind: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+
+def hub_links(docs: DataFrame, reps: DataFrame, met: DataFrame, threshold: int) -> DataFrame:
+    """a, b: confirmed links of bucket members (band, doc_id, first, n) with the first of their buckets."""
+    edges = met.where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    side = lambda x: reps.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"))
+    both = edges.join(side("b"), "b").join(side("a"), "a")
+    both = both.where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")).select("a", "b", "n_b", "regs_a", "regs_b")
 
-        def links(batch: pa.Table):
-            key = batch["band"].to_numpy()
-            ids = batch["doc_id"].to_numpy()
-            regs = np.frombuffer(b"".join(batch["regs"].to_pylist()), np.uint16).reshape(len(key), REGISTERS)
-            found = np.array(bucket_links(key, regs, threshold), np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(ids[found[:, 0]]), pa.array(ids[found[:, 1]])], ["a", "b"])
+    def run(batch: pa.RecordBatch):
+        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in (3, 4))
+        yield batch.filter(pa.array(may_link(x, y, threshold / 100))).select(["a", "b"])
 
-        # A bucket ends where the next one starts; the last one of a batch waits for the next batch.
+    kind = docs.schema["doc_id"].dataType
+    likely = common.materialize(common.map_arrow(both, run, _pair_schema(kind)).distinct(), "near-hub-edges")
+    # A hub meets its partners in as many tasks as they need.
+    tasks = likely.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(STAR)).cast("int").alias("tasks"))
+    known = likely.join(tasks, "a").withColumn("task", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int"))
+    partners = known.select(F.xxhash64("a", "task").alias("meeting"), F.lit(True).alias("right"), F.col("b").alias("doc_id"))
+    hubs = known.select("a", "task").distinct().select(F.xxhash64("a", "task").alias("meeting"), F.lit(False).alias("right"), F.col("a").alias("doc_id"))
+    seats = common.materialize(hubs.unionByName(partners), "near-hub-seats")
+    sent = seats.join(common.narrow(docs, seats), "doc_id").repartition("meeting").sortWithinPartitions("meeting", "right", "doc_id").select("meeting", "right", "doc_id", "text")
+
+    def meet(batches):
+        now, hubs = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column(0).to_numpy()
-            cut = int(np.searchsorted(key, key[-1], "left"))
-            if held and cut == 0 and key[0] == held[-1].column(0)[0].as_py():
-                held.append(batch)
-                continue
-            if held and key[0] != held[-1].column(0)[-1].as_py() or cut:
-                done = [*held, batch.slice(0, cut)]
-                held = []
-                if sum(b.num_rows for b in done):
-                    yield links(pa.Table.from_batches(done))
-            held.append(batch.slice(cut))
-        if held:
-            yield links(pa.Table.from_batches(held))
-
-    kind = reps.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    return rows.mapInArrow(run, schema).unionByName(hot).distinct()
+            meeting, right, names = (batch.column(k).to_pylist() for k in range(3))
+            a, b = [], []
+            for k, s in enumerate(shingle_sets(batch.column(3))):
+                if meeting[k] != now:
+                    now, hubs = meeting[k], []
+                if not right[k]:
+                    hubs.append((names[k], s))
+                    continue
+                for name, h in hubs:
+                    if enough(shared(h, s), len(h), len(s), threshold):
+                        a.append(name)
+                        b.append(names[k])
+                        break
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.field(2).type), pa.array(b, batch.schema.field(2).type)], ["a", "b"])
+
+    out = common.materialize(sent.mapInArrow(meet, _pair_schema(kind)), "near-hub-links")
+    common.free(likely, seats)
+    return out
+
+
+def candidate_links(reps: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
+    """a, b: a forest of the pairs of rows (band, doc_id, label) of one band and two labels that may link."""
+    size = rows.groupBy("band").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    size = size.select("band", F.ceil(F.col("rows") / F.lit(BUCKET_ROWS)).cast("int").alias("parts"))
+    rows = rows.join(size, "band").join(reps.select("doc_id", F.col("n_shingles").alias("size"), "regs"), "doc_id")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(F.col("part"), o).alias("x"), F.greatest(F.col("part"), o).alias("y")))
+    rows = rows.withColumn("pair", F.explode(pairs))
+    side = F.when(F.col("pair.x") == F.col("pair.y"), F.lit(-1)).otherwise((F.col("part") == F.col("pair.y")).cast("int"))
+    rows = rows.select(F.xxhash64("band", "pair.x", "pair.y").alias("meeting"), "doc_id", "label", side.alias("side"), "size", "regs")
+    rows = rows.repartition("meeting").sortWithinPartitions("meeting", "label", "doc_id")
+
+    def links(batch: pa.Table):
+        key, ids, size, side = (batch[c].to_numpy() for c in ("meeting", "doc_id", "size", "side"))
+        label = batch["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+        regs = np.frombuffer(b"".join(batch["regs"].to_pylist()), np.uint16).reshape(len(key), REGISTERS)
+        found = np.array(bucket_links(key, regs, size, label, side, threshold), np.int64).reshape(-1, 2)
+        kind = batch.schema.field("doc_id").type
+        return pa.RecordBatch.from_arrays([pa.array(ids[found[:, 0]], kind), pa.array(ids[found[:, 1]], kind)], ["a", "b"])
+
+    return rows.mapInArrow(lambda it: _whole_keys(it, links), _pair_schema(reps.schema["doc_id"].dataType)).distinct()
+
+
+def shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    return int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
+
+
+def enough(both: int, x: int, y: int, threshold: int) -> bool:
+    """Whether sets of x and y elements, ``both`` of them shared, reach ``threshold`` per cent, in whole numbers."""
+    return both > 0 and 100 * both >= threshold * (x + y - both)
 
 
 def _add_shared(sets: list[np.ndarray], both: np.ndarray) -> None:
@@ -273,7 +342,7 @@ def _add_shared(sets: list[np.ndarray], both: np.ndarray) -> None:
         lo, hi = np.searchsorted(col, [at, at + step])
         m = np.zeros((len(sets), min(step, int(col[-1]) + 1 - at)), np.float32)
         m[owner[lo:hi], col[lo:hi] - at] = 1
-        both += m @ m.T
+        both += (m @ m.T).astype(np.int64)  # whole numbers up to 4096, which float32 holds exactly
 
 
 def exact_links(sets: list[np.ndarray], first: int, threshold: int) -> list[tuple[int, int]]:
@@ -283,7 +352,7 @@ def exact_links(sets: list[np.ndarray], first: int, threshold: int) -> list[tupl
     hashes that two sets share are counted, as products of 0/1 matrices.
     """
     size = np.array([len(s) for s in sets])
-    both = np.zeros((len(sets), len(sets)), np.float32)
+    both = np.zeros((len(sets), len(sets)), np.int64)
     # The sets are sorted: equal ranges of hashes are taken from all of them, one range after the other.
     ranges = int(size.sum() // COUNTED_AT_ONCE) + 1
     edges = (np.arange(1, ranges, dtype=np.float64) * (2.0**64 / ranges)).astype(np.uint64)
@@ -299,27 +368,43 @@ def exact_links(sets: list[np.ndarray], first: int, threshold: int) -> list[tupl
     return out
 
 
-def confirmed_links(docs: DataFrame, clusters: DataFrame, threshold: int) -> DataFrame:
-    """a, b: a spanning forest, for each block pair of a cluster, of the links confirmed on full sets."""
-    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    known = clusters.join(sizes, "component").withColumn("blocks", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int"))
-    # A member's block comes from its id's hash: blocks are about BLOCK long and need no ordering.
-    known = known.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("x"), F.greatest(F.col("block"), o).alias("y")))
-    sent = known.join(common.narrow(docs, known), "doc_id").select("doc_id", "text", "component", "block", F.explode(pairs).alias("pair"))
-    sent = sent.select("doc_id", "text", F.xxhash64("component", "pair.x", "pair.y").alias("meeting"), (F.col("block") == F.col("pair.y")).alias("right"), (F.col("pair.x") == F.col("pair.y")).alias("own"))
-    sent = sent.repartition("meeting").sortWithinPartitions("meeting", "right", "doc_id").select("meeting", "right", "own", "doc_id", "text")
+def confirmed_links(docs: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
+    """a, b: a spanning forest, for each block pair of a cluster, of the links confirmed on full sets.
+
+    ``members``: doc_id, cluster, label, n_shingles. Block pairs of one label alone are not asked.
+    """
+    def blocks(what: str):
+        many = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES)))
+        return many.cast("int").alias(what)
+
+    # A large label has blocks of its own, small ones share blocks; places come from hashes and need no ordering.
+    labels = members.groupBy("cluster", "label").agg(blocks("own"))
+    known = members.join(labels, ["cluster", "label"])
+    mixed = known.where("own = 1").groupBy("cluster").agg(blocks("mixed"))
+    known = known.join(mixed, "cluster", "left")
+    pure = F.when(F.col("own") > 1, F.col("label"))
+    place = F.when(F.col("own") > 1, F.pmod(F.xxhash64("doc_id"), F.col("own"))).otherwise(F.pmod(F.xxhash64("label"), F.col("mixed")))
+    known = common.materialize(known.select("doc_id", "cluster", pure.alias("pure"), F.xxhash64(F.coalesce(pure.cast("string"), F.lit("-")), place).alias("block")), "near-blocks")
+    # A row a block, not a text; a cluster of up to BLOCK texts, one or more components, is one.
+    table = known.select("cluster", "block", "pure").distinct()
+    other = table.select("cluster", F.col("block").alias("y"), F.col("pure").alias("pure_y"))
+    pairs = table.withColumnRenamed("block", "x").join(other, "cluster").where("x <= y AND NOT coalesce(pure = pure_y, false)")
+    seats = pairs.select("cluster", F.xxhash64("cluster", "x", "y").alias("meeting"), (F.col("x") == F.col("y")).alias("own"), F.explode(F.array_distinct(F.array(F.struct(F.col("x").alias("block"), F.lit(False).alias("right")), F.struct(F.col("y").alias("block"), (F.col("x") != F.col("y")).alias("right"))))).alias("s"))
+    seats = known.select("doc_id", "cluster", "block").join(seats.select("cluster", "meeting", "own", "s.block", "s.right"), ["cluster", "block"])
+    sent = seats.join(common.narrow(docs, known), "doc_id").select("meeting", "right", "own", "doc_id", "text")
+    sent = sent.repartition("meeting").sortWithinPartitions("meeting", "right", "doc_id")
 
     def run(batches):
-        now, ids, sets, right, own = None, [], [], 0, False
+        now, ids, sets, right, own, like = None, [], [], 0, False, None
 
         def links():
             if len(ids) > 1 and (own or 0 < right < len(ids)):
                 found = exact_links(sets, 0 if own else right, threshold)
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in found]), pa.array([ids[j] for _, j in found])], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in found], like), pa.array([ids[j] for _, j in found], like)], ["a", "b"])
 
         for batch in batches:
+            like = batch.schema.field(3).type
             meeting, side, same, names = (batch.column(k).to_pylist() for k in range(4))
             for k, s in enumerate(shingle_sets(batch.column(4))):
                 if meeting[k] != now:
@@ -332,24 +417,39 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, threshold: int) -> Dat
         yield from links()
 
     kind = docs.schema["doc_id"].dataType
-    return sent.mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+    return sent.mapInArrow(run, _pair_schema(kind))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable) and kept."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketches = common.materialize(sketch_table(docs), "near-sketches")
     known = sketches.where("doc_id is not null and n_shingles > 0")
     # Equal sets: a third of all rows may be one class, so only its smallest id goes on.
     classes = common.materialize(known.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "near-classes")
     member = known.select("doc_id", "fp_a", "fp_b", "n_shingles").join(classes, ["fp_a", "fp_b", "n_shingles"]).select("doc_id", "rep")
     reps = known.join(classes, (known.doc_id == classes.rep) & (known.fp_a == classes.fp_a) & (known.fp_b == classes.fp_b) & (known.n_shingles == classes.n_shingles), "left_semi")
-    reps = reps.select("doc_id", "regs", "bands")
-    candidates = common.materialize(candidate_links(reps, threshold / 100), "near-candidates")
-    clusters = components.connected(candidates).withColumnRenamed("node", "doc_id")
-    links = common.materialize(confirmed_links(docs.where("doc_id is not null and text is not null"), clusters, threshold), "near-links")
+    reps = reps.select("doc_id", "n_shingles", "regs", "bands")
+    bands = reps.select("doc_id", F.explode("bands").alias("band"))
+    buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).where("n > 1")
+    met = common.materialize(bands.join(buckets, "band"), "near-bands")
+    texts = docs.where("doc_id is not null and text is not null")
+
+    links = hub_links(texts, reps, met, threshold)
+    found = common.materialize(components.connected(links), "near-components")
+    # Every pair with the first of a bucket has been asked: what is open are the others of different components.
+    rest = met.where("n > 2 AND doc_id != first").join(found, F.col("doc_id") == F.col("node"), "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("label"))
+    candidates = common.materialize(candidate_links(reps, rest, threshold / 100), "near-candidates")
+    if not candidates.isEmpty():
+        clusters = components.connected(candidates).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+        open_ = clusters.join(found, F.col("doc_id") == F.col("node"), "left").select("doc_id", "cluster", F.coalesce("component", "doc_id").alias("label"))
+        open_ = open_.join(reps.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")), "doc_id")
+        more = common.materialize(confirmed_links(texts, open_, threshold), "near-links")
+        if not more.isEmpty():
+            # The components that are known stand for the links that made them.
+            links = found.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more)
+            found = components.connected(links)
     same_id = member.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    found = components.connected(links)
     # A class follows its representative; components of classes are named by their smallest id.
     home = member.join(found, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     repeated = home.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.countDistinct("component_id").alias("homes"))

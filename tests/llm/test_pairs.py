@@ -255,3 +255,39 @@ def test_pipeline_drops_bad_rows_without_id(spark, tmp_path):
     spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     out = pipeline.quality(spark, table, str(tmp_path)).collect()
     assert [r["text"] for r in out if r["doc_id"] is None] == [rows[-1][1]] and sum(r["doc_id"] is not None for r in out) == 200
+
+
+def test_large_sets_are_counted_in_whole_numbers():
+    # 671,109 of 789,540 shingles are 85 per cent and a hair; one less is under it. float32 can't tell.
+    values = np.arange(1, 789_541, dtype=np.uint64) * np.uint64(2_000_003)
+    one, two = values[: 671_109 + 60_000], np.concatenate((values[:671_109], values[671_109 + 60_000 :]))
+    assert near_dedup.shared(one, two) == 671_109 and len(np.union1d(one, two)) == 789_540
+    assert near_dedup.exact_links([one, two], 0, 85) == [(0, 1)] and near_dedup.enough(671_109, len(one), len(two), 85)
+    fewer = np.concatenate((values[:671_108], values[671_109 + 60_000 :], values[:1] - np.uint64(1)))
+    fewer.sort()
+    assert near_dedup.exact_links([one, fewer], 0, 85) == [] and not near_dedup.enough(671_108, len(one), len(fewer), 85)
+
+
+def test_near_takes_any_id(spark):
+    docs = [(f"id{i:04d}", t) for i, t in near_texts()]
+    got = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {f"id{i:04d}": f"id{c:04d}" for i, (_, c) in brute_near(near_texts()).items()}
+
+
+def test_bucket_forest():
+    """Of rows of one bucket, the forest joins what any chain of pairs of two labels joins."""
+    rng = np.random.default_rng(21)
+    base = np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64))
+    sets = [np.unique(np.concatenate((base[rng.random(len(base)) < keep], rng.integers(0, 2**63, 3, dtype=np.uint64)))) for keep in rng.choice([0.97, 0.9, 0.6, 0.3], 70)]
+    regs, size = np.stack([near_dedup.sketch(s)[0] for s in sets]), np.array([len(s) for s in sets])
+    for n in (20, 70):
+        for sides in (np.full(n, -1), rng.integers(0, 2, n)):
+            label, key = rng.integers(0, 12, n), np.zeros(n, np.int64)
+            forest, want = near_dedup._Forest(n), near_dedup._Forest(n)
+            for i, j in near_dedup.bucket_links(key, regs[:n], size[:n], label, sides, 0.85):
+                assert label[i] != label[j] and forest.join(i, j)
+            for i in range(n):
+                for j in range(i + 1, n):
+                    if label[i] != label[j] and (sides[i] < 0 or sides[i] != sides[j]) and near_dedup._may(regs, size, np.array([i]), np.array([j]), 0.85)[0]:
+                        want.join(i, j)
+            assert [forest.root(i) for i in range(n)] == [want.root(i) for i in range(n)]

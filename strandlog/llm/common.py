@@ -35,11 +35,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def free(*tables: DataFrame) -> None:
     """Delete the files of materialized tables, of which all that is needed has been materialized in turn."""
     for t in tables:
-        path = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t._scratch)
-        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(t.sparkSession, t._scratch)
+
+
+def drop_table(spark: SparkSession, name: str, path: str) -> None:
+    """The same for a table of the catalogue over files of its own."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _delete(spark, path)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: T.StructType) -> DataFrame:

@@ -3,30 +3,37 @@
 A byte is removed if it lies in a string of ``DEPTH`` bytes that also starts in a document of smaller id. Only
 suffixes that may share so many bytes are sorted:
 
-1. Equal texts are one class, told by a 128-bit fingerprint; only the class's smallest id goes on.
+1. Equal texts are one class, told by a 128-bit fingerprint; only the class's smallest id goes on. Its texts are
+   packed into *batches* of about ``BATCH_BYTES``, written once as a table bucketed by batch number: what later
+   steps find out about a batch joins it there, and texts are never shuffled.
 2. Every window of ``DEPTH`` bytes names its anchor: the ``GRAM``-byte gram of least hash in it. Equal windows
    have equal anchors at equal distance, so windows are told apart by anchor first. Hashes of anchors are
-   dealt to buckets, each batch sending a hash once; those met twice are marked in a bitmap of bounded
-   size. If it would be too full, the hash range is worked off in rounds, each with a bitmap of its own.
+   dealt to suffix buckets, each batch sending a hash once; each batch gets back a bit for each of its hashes:
+   whether another batch has it, or the batch itself more than once.
 3. The stretch of text that an anchor's windows cover is its *context*. Contexts of marked anchors, each once
-   a batch, are dealt to buckets by anchor. A bucket is one suffix bucket of the construction: a task lays its
-   different contexts into a block, ranks a difference-cover sample of the block's suffixes by prefix
-   doubling, sorts windows by their first ``PERIOD`` bytes, in parts of bounded size, and resolves longer ties
-   by the ranks of the samples that follow them. Neighbours that share ``DEPTH`` bytes form intervals; each
-   window gets the smallest id of its interval.
-4. Each batch learns the smallest ids of its contexts, marks the bytes of windows that a smaller id has, and
-   texts with marked bytes are read again and cut.
-
-Nothing is gathered by passage or document: a passage that a third of all texts share is one context a batch.
+   a batch, are dealt to suffix buckets by anchor. A bucket is one suffix bucket of the construction: its
+   different contexts are laid into blocks, a difference-cover sample of a block's suffixes is ranked by prefix
+   doubling, windows are sorted by their first ``PERIOD`` bytes, in parts of bounded size, and longer ties are
+   resolved by cover ranks: of two suffixes, those at the shift that leads both into the cover. Neighbours that
+   share ``DEPTH`` bytes form intervals; each window gets the smallest id of its interval.
+4. Each batch learns the smallest ids of its contexts and cuts the bytes of windows that a smaller id has.
+
+Steps 2 to 4 each read the batches once. Suffix buckets stand for about ``BUCKET_BYTES`` of text each and are worked off
+one by one by a number of tasks that the session sets; the rows between them are sorted by Spark, which spills.
+Nothing is broadcast or gathered by passage or document: a passage that a third of all texts share is one
+context a batch. The contexts of a single anchor, however many, are one block.
 
 Defined cases: a null text is empty; texts of fewer than DEPTH bytes are kept; a null id counts as larger
 than any other, and equal ids are not smaller than each other; rows with equal ids and texts get equal
-results; an empty table gives an empty result; other columns of the input are ignored.
+results; an empty table gives an empty result; other columns of the input are ignored. Ids are whole numbers, as
+the order of ids is asked for; a column of another type raises a TypeError. A text may be as long as a Spark
+string; it is hashed in pieces of ``PIECE`` bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +50,11 @@ PERIOD = 21
 #: A perfect difference set, so any two residues modulo 21 meet in it after one shift below 21.
 COVER = np.array([3, 6, 7, 12, 14])
 BUCKET_BYTES = 8 << 20  # text that a bucket stands for
-BATCH_BYTES = 8 << 20  # text that sends its contexts together
+BATCH_BYTES = 4 << 20  # text that sends its hashes and contexts together
 BLOCK_TEXT = 512 << 10  # contexts sorted together, unless one anchor has more
 SORT_ROWS = 1 << 20
-FILTER_BITS = 1 << 28
-_BLOCK = 512 << 10
-_POS_BITS = np.uint64(28)
-_NONE = np.uint64(2**64 - 1)
+PIECE = 512 << 10  # bytes whose anchors are found together
+_POS_BITS = np.uint64(28)  # of a place in a piece
 _LATE = 2**63 - 1  # the order of a null id
 
 
@@ -80,8 +85,19 @@ def anchors(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return h[p[new]], p[new], s[new], s[last], c
 
 
-def _slots(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(8)) & np.uint64(bits - 1)
+def pieces(offs: np.ndarray):
+    """(first byte, past byte, own text offsets, first text) of pieces of about PIECE bytes that cover every window once.
+
+    Short texts share a piece; of a longer text, a piece ends DEPTH - 1 bytes after the next one starts.
+    """
+    for a, b in kernels.blocks(offs, PIECE):
+        lo, past = int(offs[a]), int(offs[b])
+        if b - a > 1 or past - lo <= PIECE:
+            yield lo, past, offs[a : b + 1] - lo, a
+            continue
+        for at in range(lo, past - DEPTH + 1, PIECE):
+            to = min(past, at + PIECE + DEPTH - 1)
+            yield at, to, np.array([0, to - at]), a
 
 
 def _grouped(batches, fn):
@@ -110,99 +126,180 @@ def _cat(col: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(raw) if raw else np.zeros(0, kind), np.array([len(x) for x in raw], np.int64)
 
 
-def repeated_anchors(reps: DataFrame, buckets: int) -> DataFrame:
-    """h: hashes of anchors that two texts have, or one batch more than once."""
-    schema = T.StructType.fromDDL("bucket int, h binary, many binary")
+def _own_hashes(data: np.ndarray, offs: np.ndarray, buckets: int):
+    """Different anchor hashes of a batch by bucket: (hashes, whether met twice, buckets, first of each and past)."""
+    found = [anchors(data[lo:to], own)[0] for lo, to, own, _ in pieces(offs)]
+    h, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+    unit = (h % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(unit, kind="stable")
+    some, first = np.unique(unit[order], return_index=True)
+    return h[order], n[order] > 1, some, np.append(first, len(h))
 
-    def send(batch: pa.RecordBatch):
-        data, offs = kernels.text_buffer(batch.column(2))
-        found = [anchors(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])[0] for a, b in kernels.blocks(offs, _BLOCK)]
-        h, n = np.unique(np.concatenate(found), return_counts=True)
-        many, b = n > 1, (h % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(b, kind="stable")
-        some, edge = np.unique(b[order], return_index=True)
-        parts = np.split(order, edge[1:])
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([h[x].tobytes() for x in parts], pa.binary()), pa.array([many[x].tobytes() for x in parts], pa.binary())], schema.names)
 
-    def meet(table: pa.Table):
-        h, many = _cat(table["h"], "<u8")[0], _cat(table["many"], "?")[0]
-        order = np.argsort(h)
-        h, many = h[order], many[order]
-        new = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        twice = (np.diff(np.append(new, len(h))) > 1) | np.logical_or.reduceat(many, new) if len(h) else np.zeros(0, bool)
-        yield pa.RecordBatch.from_arrays([pa.array(h[new][twice].view(np.int64))], ["h"])
-
-    sent = common.map_arrow(reps, send, schema).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return common.materialize(sent.mapInArrow(lambda it: _grouped(it, meet), "h long"), "substring-anchors")
-
-
-def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
-    """Bits of the hashes' slots, as bytes of eight: ``bits`` bounds its size."""
-    slot = F.shiftrightunsigned("h", 8).bitwiseAND(F.lit(bits - 1))
-    rows = hashes.select(F.floor(slot / 32768).cast("int").alias("k"), (slot % 32768).cast("int").alias("b")).groupBy("k").agg(F.bitmap_construct_agg("b").alias("m"))
-    out = np.zeros(max(bits // 8, 4096), np.uint8)
-    for r in rows.toLocalIterator():
-        out[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["m"], np.uint8)
-    return out
+def _texts(batch: pa.RecordBatch):
+    """(batch number, orders, fingerprints, bytes, offsets) of rows of the batch table."""
+    for k in range(batch.num_rows):
+        ords, fps, offs, text = (np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in ((1, "<i8"), (2, "<i8"), (3, "<i8"), (4, np.uint8)))
+        yield batch.column(0)[k].as_py(), ords, fps, text, offs
 
 
-def contexts(reps: DataFrame, bitmap: np.ndarray, bits: int, buckets: int, rounds: int, turn: int) -> DataFrame:
-    """Contexts of marked anchors by batch and bucket, each context once, and where they stand.
+_BATCHES = "batch long, ords binary, fps binary, offs binary, text binary"
 
-    rel, len: place of the anchor in each context, and its length; bytes: the contexts end to end; least: the
-    smallest order of each; occ: order, fingerprint, start and context number of each occurrence.
-    """
-    shared = reps.sparkSession.sparkContext.broadcast(bitmap)
-    schema = T.StructType.fromDDL("bucket int, batch long, rel binary, len binary, bytes binary, least binary, o_ord binary, o_fp binary, o_start binary, o_ctx binary")
 
+def pack_batches(reps: DataFrame) -> tuple[DataFrame, str, str]:
+    """The texts (ord, fp, text) in batches, as a table bucketed by batch; also its name and path."""
     def run(batches):
-        marks, number = shared.value, 0
+        number, held, size = 0, [], 0
+
+        def packed():
+            data, offs = kernels.text_buffer(pa.chunked_array([h.column(2) for h in held]))
+            ords, fps = (np.concatenate([h.column(k).to_numpy() for h in held]).astype("<i8").tobytes() for k in (0, 1))
+            row = [[(TaskContext.get().partitionId() << 32) + number], [ords], [fps], [offs.astype("<i8").tobytes()], [data.tobytes()]]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k else pa.int64()) for k, x in enumerate(row)], ["batch", "ords", "fps", "offs", "text"])
+
         for batch in batches:
-            data, offs = kernels.text_buffer(batch.column(2))
-            ords, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            _, offs = kernels.text_buffer(batch.column(2))
             for a, b in kernels.blocks(offs, BATCH_BYTES):
-                out = send(marks, data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], ords[a:b], fps[a:b], (TaskContext.get().partitionId() << 24) + number)
-                number += 1
-                if out is not None:
-                    yield out
+                if held and size + offs[b] - offs[a] > BATCH_BYTES:
+                    yield packed()
+                    number, held, size = number + 1, [], 0
+                held.append(batch.slice(a, b - a))
+                size += offs[b] - offs[a]
+        if held:
+            yield packed()
+
+    spark = reps.sparkSession
+    name, path = f"strandlog_texts_{uuid.uuid4().hex}", common.scratch_path(spark, "substring-texts")
+    made = reps.mapInArrow(run, _BATCHES)
+    made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "batch").format("parquet").option("path", path).saveAsTable(name)
+    return spark.table(name).select("batch", "ords", "fps", "offs", "text"), name, path
+
+
+def _by_batch(rows: DataFrame, name: str) -> DataFrame:
+    """Rows (batch, bucket, ...) as one row a batch with the list ``told``: no more rows than the batch has sent."""
+    fields = [c for c in rows.columns if c != "batch"]
+    return common.materialize(rows.groupBy("batch").agg(F.collect_list(F.struct(*fields)).alias("told")), name)
+
+
+def repeated_anchors(texts: DataFrame, buckets: int, tasks: int) -> DataFrame:
+    """batch, told (bucket, bits): for the batch's hashes of each bucket, whether another window elsewhere has it."""
+    schema = T.StructType.fromDDL("bucket int, batch long, h binary, many binary")
+
+    def send(batch: pa.RecordBatch):
+        for number, _, _, data, offs in _texts(batch):
+            h, many, some, edge = _own_hashes(data, offs, buckets)
+            if len(h):
+                parts = [slice(a, b) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([number] * len(some), pa.int64()), pa.array([h[x].tobytes() for x in parts], pa.binary()), pa.array([np.packbits(many[x]).tobytes() for x in parts], pa.binary())], schema.names)
 
-    def send(marks, data, offs, ords, fps, batch_id):
+    def meet(table: pa.Table):
+        h, size = _cat(table["h"], "<u8")
+        many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(table["many"].to_pylist(), size.tolist(), strict=True)]).astype(bool)
+        order = np.argsort(h)
+        new = np.concatenate(([True], h[order][1:] != h[order][:-1]))
+        start = np.flatnonzero(new)
+        twice = (np.diff(np.append(start, len(h))) > 1) | np.logical_or.reduceat(many[order], start)
+        bit = np.empty(len(h), bool)
+        bit[order] = twice[np.cumsum(new) - 1]
+        cut = np.cumsum(size)
+        some = [k for k in range(len(size)) if bit[cut[k] - size[k] : cut[k]].any()]
+        bits = [np.packbits(bit[cut[k] - size[k] : cut[k]]).tobytes() for k in some]
+        pick = table.select(["batch", "bucket"]).take(pa.array(some, pa.int64())).combine_chunks()
+        yield pa.RecordBatch.from_arrays([pick["batch"].combine_chunks(), pick["bucket"].combine_chunks(), pa.array(bits, pa.binary())], ["batch", "bucket", "bits"])
+
+    sent = common.map_arrow(texts, send, schema).repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    return _by_batch(sent.mapInArrow(lambda it: _grouped(it, meet), "batch long, bucket int, bits binary"), "substring-marks")
+
+
+class Contexts:
+    """The contexts of a batch's marked anchors, each once, and where they stand; ``told``: its bits by bucket."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray, ords: np.ndarray, told: list, buckets: int):
+        h, _, some, edge = _own_hashes(data, offs, buckets)
+        marked = np.zeros(len(h), bool)
+        for t in told:
+            k = int(np.searchsorted(some, t["bucket"]))
+            n = edge[k + 1] - edge[k]
+            marked[edge[k] : edge[k + 1]] = np.unpackbits(np.frombuffer(t["bits"], np.uint8), count=n)
+        marks = np.sort(h[marked])
         got = []
-        for a, b in kernels.blocks(offs, _BLOCK):
-            own = offs[a : b + 1] - offs[a]
-            h, p, lo, hi, c = anchors(data[offs[a] : offs[b]], own)
-            slot = _slots(h, bits)
-            keep = (marks[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-            if rounds > 1:
-                keep &= (h >> np.uint64(40)) % np.uint64(rounds) == np.uint64(turn)
-            h, p, lo, hi = h[keep], p[keep], lo[keep], hi[keep]
-            doc = np.searchsorted(own, lo, "right") - 1
-            end = hi + DEPTH
-            name = kernels.spans_hash(c, lo, end) ^ kernels.mix((p - lo).astype(np.uint64) * np.uint64(64) + (end - lo).astype(np.uint64) + np.uint64(1))
-            got.append((h, p - lo, end - lo, lo + offs[a], name, a + doc, lo - own[doc]))
-        h, rel, size, at, name, doc, start = (np.concatenate(x) for x in zip(*got, strict=True))
-        if not len(h):
-            return None
-        unit = h % np.uint64(buckets)
-        order = np.lexsort((ords[doc], name, unit))
-        new = np.concatenate(([True], (name[order][1:] != name[order][:-1]) | (unit[order][1:] != unit[order][:-1])))
-        which = np.cumsum(new) - 1  # context number over the batch, ordered by bucket
-        first = order[new]
-        ctx_unit, occ_unit = unit[first], unit[order]
-        some = np.unique(ctx_unit)
-        ce, oe = np.append(np.searchsorted(ctx_unit, some), len(first)), np.append(np.searchsorted(occ_unit, some), len(order))
-        rows = []
-        for k in range(len(some)):
-            f, o = first[ce[k] : ce[k + 1]], order[oe[k] : oe[k + 1]]
-            if len(f):
-                n = size[f]
-                text = data[np.repeat(at[f] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-                rows.append((int(some[k]), batch_id, rel[f].astype("u1").tobytes(), n.astype("u1").tobytes(), text.tobytes(), ords[doc[f]].astype("<i8").tobytes(),
-                             ords[doc[o]].astype("<i8").tobytes(), fps[doc[o]].astype("<i8").tobytes(), start[o].astype("<i4").tobytes(), (which[oe[k] : oe[k + 1]] - ce[k]).astype("<i4").tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), pa.schema([(n, {"int": pa.int32(), "bigint": pa.int64()}.get(t, pa.binary())) for n, t in kinds]), strict=True)], schema.names)
-
-    kinds = [(f.name, f.dataType.simpleString()) for f in schema.fields]
-    return reps.mapInArrow(run, schema)
+        for lo, to, own, row in pieces(offs):
+            h, p, first, last, c = anchors(data[lo:to], own)
+            at = np.minimum(np.searchsorted(marks, h), max(len(marks) - 1, 0))
+            keep = marks[at] == h if len(marks) else np.zeros(len(h), bool)
+            h, p, first, last = h[keep], p[keep], first[keep], last[keep]
+            end = last + DEPTH
+            name = kernels.spans_hash(c, first, end) ^ kernels.mix((p - first).astype(np.uint64) * np.uint64(64) + (end - first).astype(np.uint64) + np.uint64(1))
+            got.append((h, p - first, end - first, first + lo, name, row + np.searchsorted(own, first, "right") - 1))
+        if not got:
+            got = [(np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        h, self.rel, self.size, self.at, name, self.doc = (np.concatenate(x) for x in zip(*got, strict=True))
+        unit = (h % np.uint64(buckets)).astype(np.int64)
+        self.order = np.lexsort((ords[self.doc], name, unit))  # occurrences by bucket and context, smallest order first
+        u, m = unit[self.order], name[self.order]
+        new = np.concatenate(([True], (m[1:] != m[:-1]) | (u[1:] != u[:-1])))[: len(u)]
+        self.which = np.cumsum(new) - 1  # the context of each occurrence
+        self.first = self.order[new]
+        self.buckets = np.unique(u)
+        self.edge = np.append(np.searchsorted(unit[self.first], self.buckets), len(self.first))
+        self.occurs = np.append(np.searchsorted(u, self.buckets), len(u))
+
+
+def ask_contexts(texts: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
+    """Contexts by bucket and batch: rel, len (place of the anchor, and length), bytes end to end, least order."""
+    schema = T.StructType.fromDDL("bucket int, batch long, rel binary, len binary, bytes binary, least binary")
+
+    def send(batch: pa.RecordBatch):
+        for k, (number, ords, _, data, offs) in enumerate(_texts(batch)):
+            x = Contexts(data, offs, ords, batch.column(5)[k].as_py(), buckets)
+            rows = []
+            for b, a, z in zip(x.buckets.tolist(), x.edge[:-1], x.edge[1:], strict=True):
+                f = x.first[a:z]
+                n = x.size[f]
+                text = data[np.repeat(x.at[f] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                rows.append((b, number, x.rel[f].astype("u1").tobytes(), n.astype("u1").tobytes(), text.tobytes(), ords[x.doc[f]].astype("<i8").tobytes()))
+            if rows:
+                kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], schema.names)
+
+    # The few bits go to the batches: the table of texts is bucketed, so it stays where it is.
+    return common.map_arrow(texts.join(marks.hint("shuffle_hash"), "batch").select("batch", "ords", "fps", "offs", "text", "told"), send, schema)
+
+
+def cut_texts(texts: DataFrame, marks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
+    """ord, fp, n_removed, n_spans, kept_sha of the texts that lose bytes."""
+    schema = T.StructType.fromDDL("ord long, fp long, n_removed long, n_spans long, kept_sha string")
+
+    def cut(batch: pa.RecordBatch):
+        for k, (_, ords, fps, data, offs) in enumerate(_texts(batch)):
+            x = Contexts(data, offs, ords, batch.column(5)[k].as_py(), buckets)
+            delta = np.zeros(len(data) + 2, np.int64)
+            for t in batch.column(6)[k].as_py():
+                b = int(np.searchsorted(x.buckets, t["bucket"]))
+                n, v = np.frombuffer(t["n"], "u1").astype(np.int64), np.frombuffer(t["v"], "<i8")
+                size, o = x.size[x.first[x.edge[b] : x.edge[b + 1]]] - DEPTH + 1, x.order[x.occurs[b] : x.occurs[b + 1]]
+                ctx = x.which[x.occurs[b] : x.occurs[b + 1]] - x.edge[b]
+                base, each = np.cumsum(n) - n, n[ctx]
+                occ = np.repeat(np.arange(len(o)), each)
+                step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                hit = v[base[ctx][occ] + step] < ords[x.doc[o]][occ]
+                occ, step = occ[hit], step[hit]
+                a = x.at[o][occ] + step
+                end = a + np.where(each[occ] == 1, size[ctx][occ] - 1, 0) + DEPTH
+                delta += np.bincount(a, minlength=len(delta)) - np.bincount(end, minlength=len(delta))
+            gone = np.cumsum(delta[:-2]) > 0
+            lost = np.concatenate(([0], np.cumsum(gone)))
+            rows = []
+            for i in np.flatnonzero(lost[offs[1:]] > lost[offs[:-1]]):
+                own = gone[offs[i] : offs[i + 1]]
+                spans = int(own[0]) + int((own[1:] & ~own[:-1]).sum())
+                rows.append((int(ords[i]), int(fps[i]), int(own.sum()), spans, hashlib.sha256(data[offs[i] : offs[i + 1]][~own].tobytes()).hexdigest()))
+            if rows:
+                kinds = (*[pa.int64()] * 4, pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], schema.names)
+
+    asked = texts.join(marks.hint("shuffle_hash"), "batch").join(answers.withColumnRenamed("told", "answers").hint("shuffle_hash"), "batch")
+    return common.map_arrow(asked.select("batch", "ords", "fps", "offs", "text", "told", "answers"), cut, schema)
 
 
 def _words(text: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -224,6 +321,8 @@ def cover_ranks(text: np.ndarray, inside: np.ndarray, longest: int) -> np.ndarra
     """
     at = np.flatnonzero(inside & np.isin(np.arange(len(inside)) % PERIOD, COVER))
     rank = np.zeros(len(text) + longest + 2 * PERIOD, np.int64)
+    outside = np.flatnonzero(~inside)
+    left = np.append(outside, len(inside))[np.searchsorted(outside, at)] - at  # bytes to the end of the context
     keys, depth = _words(text, at), PERIOD
     while len(at):
         order = np.lexsort(keys[::-1])
@@ -234,20 +333,53 @@ def cover_ranks(text: np.ndarray, inside: np.ndarray, longest: int) -> np.ndarra
         rank[at[order]] = number
         if number[-1] == len(at) or depth >= longest:
             break
-        keys, depth = [rank[at], rank[at + depth]], 2 * depth
+        keys, depth = [rank[at], np.where(left > depth, rank[at + np.minimum(depth, left)], 0)], 2 * depth
     return rank
 
 
-#: For each residue, the first shift that leads into the cover.
-_SHIFT = np.array([min(d for d in range(PERIOD) if (c + d) % PERIOD in COVER) for c in range(PERIOD)])
+#: For two residues, the first shift that leads both into the cover.
+_BOTH = np.array([[min(d for d in range(PERIOD) if (a + d) % PERIOD in COVER and (b + d) % PERIOD in COVER) for b in range(PERIOD)] for a in range(PERIOD)])
 
 
-def window_order(text: np.ndarray, at: np.ndarray, rank: np.ndarray):
-    """Places in suffix order, one part of at most about SORT_ROWS at a time.
+def suffix_order(text: np.ndarray, at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The places ``at`` in the order of their suffixes.
 
-    Parts split between first bytes. Ties of PERIOD bytes go by residue and then by the rank of the first
-    cover sample behind: equal windows of a block have equal residues (see ``least_orders``).
+    Places are grouped by their first PERIOD bytes. In a group, those of one residue go by the rank of the
+    first cover sample behind them. Where a group has several residues, a place comes after its own residue's
+    smaller places and, of each other residue, after those that the cover ranks at their common shift put before it.
     """
+    res, w = at % PERIOD, _words(text, at)
+    order = np.lexsort((rank[at + np.diagonal(_BOTH)[res]], res, *w[::-1]))
+    at, res = at[order], res[order]
+    change = np.zeros(len(at), bool)
+    for k in w:
+        change[1:] |= k[order][1:] != k[order][:-1]
+    change[:1] = True
+    group, start = np.cumsum(change) - 1, np.flatnonzero(change)
+    last = np.append(start[1:], len(at)) - 1
+    mixed = np.flatnonzero((res[start] != res[last])[group])  # sorted by residue in a group, so its ends tell
+    if not len(mixed):
+        return at
+    at_m, res_m, group_m = at[mixed], res[mixed], group[mixed]
+    # Places of one residue and group before each, and then those of the other residues.
+    head = np.concatenate(([True], (res_m[1:] != res_m[:-1]) | (group_m[1:] != group_m[:-1])))
+    place = np.arange(len(mixed)) - np.maximum.accumulate(np.where(head, np.arange(len(mixed)), 0))
+    many = np.int64(len(rank) + 1)
+    rows = [np.flatnonzero(res_m == r) for r in range(PERIOD)]
+    for r, mine in enumerate(rows):
+        for s, other in enumerate(rows):
+            if r != s and len(mine) and len(other):
+                key = group_m[other] * many + rank[at_m[other] + _BOTH[r, s]]
+                asked = group_m[mine] * many
+                smaller = np.searchsorted(key, asked + rank[at_m[mine] + _BOTH[r, s]], "right" if s < r else "left")
+                place[mine] += smaller - np.searchsorted(key, asked, "left")
+    out = at.copy()
+    out[start[group_m] + place] = at_m
+    return out
+
+
+def window_order(text: np.ndarray, at: np.ndarray, rank: np.ndarray):
+    """Places in suffix order, one part of at most about SORT_ROWS at a time; parts split between first bytes."""
     lead = text[at]
     order = np.argsort(lead, kind="stable")
     edge = np.searchsorted(lead[order], np.arange(257))
@@ -257,16 +389,14 @@ def window_order(text: np.ndarray, at: np.ndarray, rank: np.ndarray):
             part = at[order[edge[a] : edge[b]]]
             a = b
             if len(part):
-                res = part % PERIOD
-                w = _words(text, part)
-                yield part[np.lexsort((rank[part + _SHIFT[res]], res, *w[::-1]))]
+                yield suffix_order(text, part, rank)
 
 
 def least_orders(rel: np.ndarray, size: np.ndarray, data: np.ndarray, least: np.ndarray) -> np.ndarray:
     """The smallest order that each window of the contexts has anywhere among them, contexts end to end.
 
-    Contexts are laid so that their anchors stand at multiples of PERIOD: equal windows have their anchor at
-    an equal distance, so they have equal residues.
+    Contexts are laid so that their anchors stand at multiples of PERIOD: most suffixes that are alike have
+    equal residues then, which makes few mixed groups; the order doesn't depend on it.
     """
     rel, size = rel.astype(np.int64), size.astype(np.int64)
     room = (-(-(size + 2 * PERIOD + PERIOD) // PERIOD)) * PERIOD
@@ -349,84 +479,29 @@ def _solve(table: pa.Table):
     yield pa.RecordBatch.from_arrays([table["bucket"].combine_chunks(), table["batch"].combine_chunks(), pa.array(out_n, pa.binary()), pa.array(out_v, pa.binary())], ["bucket", "batch", "n", "v"])
 
 
-def _marked(batch: pa.RecordBatch):
-    """Removed ranges by document: ord, fp, ranges (start and end of each, packed)."""
-    for k in range(batch.num_rows):
-        row = batch.slice(k, 1).to_pylist()[0]
-        n, v, size = (np.frombuffer(row[c], k) for c, k in (("n", "u1"), ("v", "<i8"), ("len", "u1")))
-        ords, fps, start, ctx = (np.frombuffer(row[c], k) for c, k in (("o_ord", "<i8"), ("o_fp", "<i8"), ("o_start", "<i4"), ("o_ctx", "<i4")))
-        base, many = np.cumsum(n.astype(np.int64)) - n, size.astype(np.int64) - DEPTH + 1
-        each = n[ctx].astype(np.int64)
-        occ = np.repeat(np.arange(len(ctx)), each)
-        step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        hit = v[base[ctx][occ] + step] < ords[occ]
-        occ, step = occ[hit], step[hit]
-        if not len(occ):
-            continue
-        a = start[occ].astype(np.int64) + step
-        b = a + np.where(each[occ] == 1, many[ctx][occ] - 1, 0) + DEPTH
-        order = np.lexsort((a, fps[occ], ords[occ]))
-        a, b, o, f = a[order], b[order], ords[occ][order], fps[occ][order]
-        # Neighbouring windows of one document become one range.
-        new = np.concatenate(([True], (o[1:] != o[:-1]) | (f[1:] != f[:-1]) | (a[1:] > a[:-1] + 1)))
-        s = np.flatnonzero(new)
-        a, b, o, f = a[s], np.maximum.reduceat(b, s), o[s], f[s]
-        doc = np.flatnonzero(np.concatenate(([True], (o[1:] != o[:-1]) | (f[1:] != f[:-1]))))
-        ranges = np.stack([a, b], 1).astype("<i4")
-        cut = np.append(doc, len(a))
-        yield pa.RecordBatch.from_arrays([pa.array(o[doc]), pa.array(f[doc]), pa.array([ranges[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["ord", "fp", "ranges"])
-
-
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be a column of whole numbers, by which earlier and later texts are told")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LATE)).alias("ord"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LATE)).alias("ord"), text.alias("text"))
     rows = rows.select("doc_id", "ord", "text", F.xxhash64("text").alias("fp"))
     info = rows.select("doc_id", "ord", "fp", F.xxhash64(F.lit(7), F.reverse("text")).alias("fp2"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     info = common.materialize(info, "substring-rows")
     classes = common.materialize(info.groupBy("fp", "fp2", "n_bytes").agg(F.min("ord").alias("rep")), "substring-classes")
     total = classes.agg(F.sum("n_bytes")).collect()[0][0] or 0
-    buckets = int(total // BUCKET_BYTES) + 4
+    buckets, tasks = int(total // BUCKET_BYTES) + 4, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = info.join(classes, ["fp", "fp2", "n_bytes"]).where("ord > rep").select("ord", "fp").distinct()
     few = copies.limit(common.BROADCAST_ROWS + 1).count() <= common.BROADCAST_ROWS
     reps = rows.join(F.broadcast(copies) if few else copies, ["ord", "fp"], "left_anti").where(F.octet_length("text") >= DEPTH).select("ord", "fp", "text")
 
-    repeated = repeated_anchors(reps, buckets)
-    n = repeated.count()
-    bits = min(FILTER_BITS, max(1 << 15, 1 << int(8 * n).bit_length()))
-    rounds = int(8 * n // FILTER_BITS) + 1
-    marked = None
-    for turn in range(rounds):  # a range of hashes at a time, so that the filter stays within its bound
-        bitmap = _bitmap(repeated.where(F.shiftrightunsigned("h", 40) % rounds == turn), bits)
-        sent = common.materialize(contexts(reps, bitmap, bits, buckets, rounds, turn), "substring-contexts")
-        asked = sent.select("bucket", "batch", "rel", "len", "bytes", "least").repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
-        told = asked.mapInArrow(lambda it: _grouped(it, _solve), "bucket int, batch long, n binary, v binary")
-        met = told.join(sent.select("bucket", "batch", "len", "o_ord", "o_fp", "o_start", "o_ctx"), ["bucket", "batch"])
-        got = common.materialize(common.map_arrow(met, _marked, T.StructType.fromDDL("ord long, fp long, ranges binary")), "substring-ranges")
-        marked = got if marked is None else marked.unionByName(got)
-
-    # A text's ranges are no more than its own windows.
-    by = marked.groupBy("ord", "fp").agg(F.collect_list("ranges").alias("ranges"))
-    by = common.materialize(by, "substring-marked")
-    texts = common.narrow(reps, by, "fp").join(by, ["ord", "fp"]).select("ord", "fp", "text", "ranges")
-    schema = T.StructType.fromDDL("ord long, fp long, n_removed long, n_spans long, kept_sha string")
-
-    def cut(batch: pa.RecordBatch):
-        data, offs = kernels.text_buffer(batch.column(2))
-        removed, spans, sha = [], [], []
-        for i, ranges in enumerate(batch.column(3).to_pylist()):
-            own = data[offs[i] : offs[i + 1]]
-            r = np.concatenate([np.frombuffer(x, "<i4").reshape(-1, 2) for x in ranges])
-            delta = np.zeros(len(own) + 2, np.int32)
-            np.add.at(delta, r[:, 0] + 1, 1)
-            np.add.at(delta, r[:, 1] + 1, -1)
-            gone = np.cumsum(delta)[:-1] > 0  # one place before the text, so a run at its start is seen
-            removed.append(int(gone.sum()))
-            spans.append(int((gone[1:] & ~gone[:-1]).sum()))
-            sha.append(hashlib.sha256(own[~gone[1:]].tobytes()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha)], schema.names)
-
-    changed = common.materialize(common.map_arrow(texts, cut, schema).distinct(), "substring-cut")
+    texts, name, path = pack_batches(reps)
+    marks = repeated_anchors(texts, buckets, tasks)
+    asked = ask_contexts(texts, marks, buckets).repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    answers = _by_batch(asked.mapInArrow(lambda it: _grouped(it, _solve), "bucket int, batch long, n binary, v binary"), "substring-answers")
+    changed = common.materialize(cut_texts(texts, marks, answers, buckets).distinct(), "substring-cut")
+    common.free(marks, answers)
+    common.drop_table(docs.sparkSession, name, path)
     whole = (F.col("ord") > F.col("rep")) & (F.col("n_bytes") >= DEPTH)
     out = info.join(classes, ["fp", "fp2", "n_bytes"]).join(changed, ["ord", "fp"], "left")
     return out.select(

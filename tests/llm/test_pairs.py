@@ -154,7 +154,6 @@ def test_substrings(spark):
 
 
 def test_substrings_in_rounds(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "FILTER_BITS", 1 << 12)
     monkeypatch.setattr(suffix_dedup, "SORT_ROWS", 50)
     monkeypatch.setattr(suffix_dedup, "BLOCK_TEXT", 300)
     docs = [(i, t) for i, t in substring_texts() if i is not None]
@@ -291,3 +290,55 @@ def test_bucket_forest():
                     if label[i] != label[j] and (sides[i] < 0 or sides[i] != sides[j]) and near_dedup._may(regs, size, np.array([i]), np.array([j]), 0.85)[0]:
                         want.join(i, j)
             assert [forest.root(i) for i in range(n)] == [want.root(i) for i in range(n)]
+
+
+def test_suffix_order_of_any_residues():
+    """Cover comparison alone puts suffixes of all residues into their order."""
+    rng = np.random.default_rng(31)
+    period, gap = suffix_dedup.PERIOD, 2 * suffix_dedup.PERIOD
+    for letters in ([97], [97, 98], [97, 98, 99, 100]):
+        text, inside, ends, base = np.zeros(4000, np.uint8), np.zeros(4000, bool), np.zeros(4000, np.int64), 3
+        shared = rng.choice(letters, 90)
+        for k in range(14):
+            n = int(rng.integers(50, 160))
+            body = rng.choice(letters, n)
+            body[5 : 5 + min(90, n - 5)] = shared[: min(90, n - 5)]
+            text[base : base + n], inside[base : base + n], ends[base : base + n] = body, True, base + n
+            base += n + gap + k
+        at = rng.permutation(np.flatnonzero(inside))
+        rank = suffix_dedup.cover_ranks(text, inside, 160)
+        got = suffix_dedup.suffix_order(text, at, rank)
+        key = lambda i: bytes(text[i : ends[i]])  # noqa: E731, B023
+        assert [key(i) for i in got] == sorted(key(i) for i in at) and sorted(got) == sorted(at)
+        assert len({i % period for i in got}) == period
+        parts = np.concatenate(list(suffix_dedup.window_order(text, at, rank)))
+        assert [key(i) for i in parts] == [key(i) for i in got]
+
+
+def test_substrings_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(suffix_dedup, "SORT_ROWS", 50)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_TEXT", 300)
+    docs = [(i, t) for i, t in substring_texts() if i is not None]
+    docs += [(200, "q" * 30 + docs[6][1][100:2500] + "r" * 900), (201, docs[6][1][1000:1060] + "s" * 40)]
+    got = suffix_dedup.dedup_substrings(spark.createDataFrame(docs, "doc_id int, text string")).collect()
+    want = brute_substrings(docs)
+    assert sorted((r["doc_id"], *(r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256"))) for r in got) == sorted((i, *want[i, (t or "").encode()]) for i, t in docs)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("strandlog_texts")]
+    with pytest.raises(TypeError, match="whole numbers"):
+        suffix_dedup.dedup_substrings(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+def test_pieces_cover_every_window_once():
+    for sizes in ([0, 10, 49, 50, 51], [3000], [700 * 1024], [suffix_dedup.PIECE, 5, 3 * suffix_dedup.PIECE + 49, 3 * suffix_dedup.PIECE + 50]):
+        offs = np.concatenate(([0], np.cumsum(sizes)))
+        seen = []
+        for lo, to, own, first in suffix_dedup.pieces(offs):
+            assert to - lo == own[-1]
+            for k in range(len(own) - 1):
+                seen += [(first + k, w) for w in (lo + own[k], lo + own[k + 1] - 50) if own[k + 1] - own[k] >= 50] and [(first + k, lo + int(own[k]), lo + int(own[k + 1]) - 49)] if own[k + 1] - own[k] >= 50 else []
+        for doc, n in enumerate(sizes):
+            mine = sorted(x[1:] for x in seen if x[0] == doc)
+            assert not mine if n < 50 else (mine[0][0] == offs[doc] and mine[-1][1] == offs[doc + 1] - 49 and all(a[1] == b[0] for a, b in zip(mine, mine[1:], strict=False)))

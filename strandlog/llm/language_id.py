@@ -3,15 +3,17 @@
 A language is a probability for each piece of a fixed public vocabulary. The likelihood of a word is the
 sum, over every way to cut its bytes into pieces, of the product of the pieces' probabilities: a forward
 pass over the bytes. Probabilities are learned by expectation-maximisation, with the backward pass giving
-expected piece counts, on about ``FIT_DOCS`` documents a language (those of smallest id hash; the bound is
-that parameter). A text's score is the posterior of the best language, each with the same prior.
+expected piece counts, on about ``FIT_DOCS`` different documents a language (those of smallest hash of id and text;
+the bound is that parameter). A text's score is the posterior of the best language, each with the same prior.
+The vocabulary is used whole: pieces of up to 8 bytes are looked up as integers, longer ones by their first 8.
 
 All words of every text count. Words are scored once per block of ``SCORE_BYTES`` of text, all languages at a time, in numpy.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; a null language is not
 learned; with nothing to learn from, all is ``und``; of equal languages the first by name is given; a text
-in no piece's alphabet falls back on single bytes; repeated rows get equal results; null ids are scored;
-other columns of the input are ignored.
+in no piece's alphabet falls back on single bytes; repeated rows get equal results and are learned from
+once; null ids are scored and learned from; words and texts of any length count whole; an empty table gives an
+empty result; more than ``MAX_LANGS`` languages raise a ValueError; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -31,14 +33,15 @@ from strandlog.llm import common, kernels
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FIT_DOCS = 600  # a language
 ROUNDS = 3
-MAX_PIECE = 8  # bytes of the longest piece used: each fits one 64-bit integer
+KEY_BYTES = 8  # bytes of a piece that fit one 64-bit integer
+MAX_LANGS = 2000  # languages of one model, whose size is theirs times the vocabulary
 UND = "und"
 SCORE_BYTES = 4 << 20  # text scored together
 _SLOT_BITS = 18
 
 
 def load_pieces(path: str = VOCABULARY) -> list[bytes]:
-    """The vocabulary's pieces of up to MAX_PIECE bytes, lower case, and every single byte."""
+    """The vocabulary's pieces, lower case, and every single byte."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -46,26 +49,50 @@ def load_pieces(path: str = VOCABULARY) -> list[bytes]:
     for i in range(sp.get_piece_size()):
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)):
             piece = sp.id_to_piece(i).replace("▁", " ").encode()
-            if 0 < len(piece) <= MAX_PIECE and b"\0" not in piece and not piece.strip(b" ") == b"" or piece == b" ":
+            if piece and b"\0" not in piece and (piece.strip(b" ") or piece == b" "):
                 found.add(bytes(c + 32 if 65 <= c <= 90 else c for c in piece))
     return sorted(found)
 
 
 class Pieces:
-    """Look-up of byte strings of up to 8 bytes: two tables, each key in its place in one of them."""
+    """Look-up of byte strings: two tables of integers, each key in its place in one of them.
+
+    A piece of up to 8 bytes is a key itself. The first 8 bytes of longer pieces are keys of a table of their own,
+    which gives the pieces that start with them, longest last.
+    """
 
     def __init__(self, pieces: list[bytes]):
         self.n = len(pieces)
-        self.keys = np.array([int.from_bytes(p, "little") + (len(p) << 56 if len(p) < 8 else 0) for p in pieces], np.uint64)
+        self.longest = max(map(len, pieces), default=0)
+        self.short = _Keys([(self.key(p), i) for i, p in enumerate(pieces) if len(p) <= KEY_BYTES])
+        self.long: list[list[tuple[bytes, int]]] = []
+        heads: dict[bytes, int] = {}
+        for i, p in sorted(enumerate(pieces), key=lambda x: len(x[1])):
+            if len(p) > KEY_BYTES:
+                head = heads.setdefault(p[:KEY_BYTES], len(heads))
+                if head == len(self.long):
+                    self.long.append([])
+                self.long[head].append((p[KEY_BYTES:], i))
+        self.heads = _Keys([(self.key(h), k) for h, k in heads.items()])
+
+    @staticmethod
+    def key(piece: bytes) -> int:
+        return int.from_bytes(piece, "little") + (len(piece) << 56 if len(piece) < KEY_BYTES else 0)
+
+
+class _Keys:
+    """64-bit keys to numbers."""
+
+    def __init__(self, items: list[tuple[int, int]]):
         size = 1 << _SLOT_BITS
-        self.key = [np.zeros(size, np.uint64), np.zeros(size, np.uint64)]
+        self.at = [np.zeros(size, np.uint64), np.zeros(size, np.uint64)]
         self.id = [np.full(size, -1, np.int32), np.full(size, -1, np.int32)]
-        for i, k in enumerate(self.keys):
-            item, which = (k, i), 0
+        for k, i in items:
+            item, which = (np.uint64(k), i), 0
             for _ in range(500):  # each newcomer takes the place; who was there moves to the other table
-                at = int(self._slot(np.array([item[0]]), which)[0])
-                old = (self.key[which][at], int(self.id[which][at]))
-                self.key[which][at], self.id[which][at] = item
+                slot = int(self._slot(np.array([item[0]]), which)[0])
+                old = (self.at[which][slot], int(self.id[which][slot]))
+                self.at[which][slot], self.id[which][slot] = item
                 if old[1] < 0:
                     break
                 item, which = old, 1 - which
@@ -79,93 +106,115 @@ class Pieces:
         return (k * mult) >> np.uint64(64 - _SLOT_BITS)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Ids of the keys; -1 where there is none."""
+        """Numbers of the keys; -1 where there is none."""
         at = self._slot(keys, 0)
-        out = np.where(self.key[0][at] == keys, self.id[0][at], -1)
+        out = np.where(self.at[0][at] == keys, self.id[0][at], -1)
         miss = np.flatnonzero(out < 0)
         at = self._slot(keys[miss], 1)
-        out[miss] = np.where(self.key[1][at] == keys[miss], self.id[1][at], -1)
+        out[miss] = np.where(self.at[1][at] == keys[miss], self.id[1][at], -1)
         return out
 
 
 @dataclass
 class Lattice:
-    """Words laid end to end, longest first, with the piece that starts at each byte, for every length."""
+    """Words, longest first, and every place where a piece stands in one: (word, first byte, length, piece)."""
 
-    start: np.ndarray
     size: np.ndarray
-    piece: np.ndarray  # MAX_PIECE x bytes; the id, or n for none
+    longest: int
+    n_pieces: int
+    word: np.ndarray
+    first: np.ndarray
+    length: np.ndarray
+    piece: np.ndarray
 
     @classmethod
     def of(cls, words: list[bytes], pieces: Pieces, before: bytes = b" ") -> tuple[Lattice, np.ndarray]:
         """The lattice of the words, each after a space, and the order they came to be in."""
         size = np.fromiter((len(w) + len(before) for w in words), np.int64, len(words))
         order = np.argsort(-size, kind="stable")
-        data = np.frombuffer(b"".join(before + words[i] for i in order) + bytes(MAX_PIECE), np.uint8)
+        raw = b"".join(before + words[i] for i in order)
         size = size[order]
         end = np.cumsum(size)
-        n = len(data) - MAX_PIECE
+        n = len(raw)
+        data = np.frombuffer(raw + bytes(KEY_BYTES), np.uint8)
         left = np.repeat(end, size) - np.arange(n)
         eight = np.zeros(n, np.uint64)
-        for k in range(MAX_PIECE):
+        for k in range(KEY_BYTES):
             eight |= data[k : k + n].astype(np.uint64) << np.uint64(8 * k)
-        piece = np.full((MAX_PIECE, n), pieces.n, np.int32)
-        for k in range(1, MAX_PIECE + 1):
+        at, length, piece = [], [], []
+        for k in range(1, KEY_BYTES + 1):
             fits = np.flatnonzero(left >= k)
-            key = eight[fits] & np.uint64((1 << 8 * k) - 1) if k < 8 else eight[fits]
-            ids = pieces.find(key | np.uint64(k << 56) if k < 8 else key)
-            piece[k - 1, fits] = np.where(ids < 0, pieces.n, ids)
-        return cls(end - size, size, piece), order
+            key = eight[fits] & np.uint64((1 << 8 * k) - 1) | np.uint64(k << 56) if k < KEY_BYTES else eight[fits]
+            ids = pieces.short.find(key)
+            hit = np.flatnonzero(ids >= 0)
+            at.append(fits[hit])
+            length.append(np.full(len(hit), k, np.int64))
+            piece.append(ids[hit])
+        fits = np.flatnonzero(left > KEY_BYTES)
+        head = pieces.heads.find(eight[fits])
+        far = []
+        for i, h in zip(fits[head >= 0].tolist(), head[head >= 0].tolist(), strict=True):
+            for tail, piece_id in pieces.long[h]:
+                if len(tail) + KEY_BYTES <= left[i] and raw.startswith(tail, i + KEY_BYTES):
+                    far.append((i, len(tail) + KEY_BYTES, piece_id))
+        far = np.array(far, np.int64).reshape(-1, 3)
+        at, length, piece = (np.concatenate([*x, y]) for x, y in zip((at, length, piece), far.T, strict=True))
+        word = np.repeat(np.arange(len(size)), size)[at]
+        return cls(size, max(pieces.longest, 1), pieces.n, word, at - (end - size)[word], length, piece.astype(np.int64)), order
+
+    def _runs(self, step: np.ndarray):
+        """(step, length, places) of places of one step and length, steps rising: a word is among them once."""
+        order = np.lexsort((self.length, step))
+        s, k = step[order], self.length[order]
+        edge = np.flatnonzero(np.concatenate(([True], (s[1:] != s[:-1]) | (k[1:] != k[:-1])))) if len(s) else []
+        for a, b in zip(edge, np.append(edge[1:], len(s)) if len(s) else [], strict=True):
+            yield int(s[a]), int(k[a]), order[a:b]
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """Log of the summed probability of each word; p: (n + 1) x languages, 0 in the last row."""
         words, langs = len(self.size), p.shape[1]
-        ring = np.zeros((MAX_PIECE, words, langs))
+        room = self.longest + 1
+        ring = np.zeros((room, words, langs))
         ring[0] = 1.0
-        log = np.zeros((words, langs))
-        out = np.zeros((words, langs))
-        deep = int(self.size[0]) if words else 0
-        for j in range(1, deep + 1):
+        log, out = np.zeros((words, langs)), np.zeros((words, langs))
+
+        def close(j: int) -> None:
+            """The state after j bytes is complete."""
             n = int(np.searchsorted(-self.size, -j, "right"))  # words of at least j bytes
-            new = np.zeros((n, langs))
-            for k in range(1, min(MAX_PIECE, j) + 1):
-                ids = self.piece[k - 1, self.start[:n] + (j - k)]
-                has = np.flatnonzero(ids < len(p) - 1)
-                new[has] += ring[(j - k) % MAX_PIECE, has] * p[ids[has]]
-            ring[j % MAX_PIECE, :n] = new
             done = int(np.searchsorted(-self.size[:n], -j, "left"))
-            out[done:n] = np.log(np.maximum(new[done:], 1e-300)) + log[done:n]
+            out[done:n] = np.log(np.maximum(ring[j % room, done:n], 1e-300)) + log[done:n]
             if j % 16 == 0 and done:  # keep clear of underflow in long words
                 top = np.maximum(ring[:, :done].max(0), 1e-280)
                 ring[:, :done] /= top
                 log[:done] += np.log(top)
+            ring[(j + 1) % room, :done] = 0.0
+
+        now = 0
+        if words:
+            ring[1 % room] = 0.0
+        for j, k, at in self._runs(self.first + self.length):
+            while now < j - 1:
+                now += 1
+                close(now)
+            w = self.word[at]
+            ring[j % room, w] += ring[(j - k) % room, w] * p[self.piece[at]]
+        for j in range(now + 1, int(self.size[0]) + 1 if words else 1):
+            close(j)
         return out
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece under one language's p, words weighing ``weight``."""
-        n_pieces = len(p) - 1
-        total = int(self.size.sum())
         # One more cell than bytes for each word: states before, between and after its bytes.
-        base = self.start + np.arange(len(self.size))
-        a, b = np.zeros(total + len(self.size)), np.zeros(total + len(self.size))
+        base = np.cumsum(self.size + 1) - (self.size + 1)
+        a, b = np.zeros(int((self.size + 1).sum())), np.zeros(int((self.size + 1).sum()))
         a[base], b[base + self.size] = 1.0, 1.0
-        deep = int(self.size[0]) if len(self.size) else 0
-        for j in range(1, deep + 1):
-            n = int(np.searchsorted(-self.size, -j, "right"))
-            back = self.size[:n] - j
-            for k in range(1, min(MAX_PIECE, j) + 1):
-                a[base[:n] + j] += a[base[:n] + j - k] * p[self.piece[k - 1, self.start[:n] + j - k]]
-                b[base[:n] + back] += b[base[:n] + back + k] * p[self.piece[k - 1, self.start[:n] + back]]
-        word = np.repeat(np.arange(len(self.size)), self.size)
-        cell = np.arange(total) + word
-        scale = (weight / np.maximum(a[base + self.size], 1e-300))[word]
-        left = self.start[word] + self.size[word] - np.arange(total)
-        out = np.zeros(n_pieces + 1)
-        for k in range(1, MAX_PIECE + 1):
-            at = np.flatnonzero((left >= k) & (self.piece[k - 1] < n_pieces))
-            ids = self.piece[k - 1, at]
-            out += np.bincount(ids, a[cell[at]] * p[ids] * b[cell[at] + k] * scale[at], n_pieces + 1)
-        return out[:-1]
+        start, end = base[self.word] + self.first, base[self.word] + self.first + self.length
+        for _, _, at in self._runs(self.first + self.length):
+            a[end[at]] += a[start[at]] * p[self.piece[at]]
+        for _, _, at in self._runs(self.size[self.word] - self.first):
+            b[start[at]] += b[end[at]] * p[self.piece[at]]
+        scale = weight / np.maximum(a[base + self.size], 1e-300)
+        return np.bincount(self.piece, a[start] * p[self.piece] * b[end] * scale[self.word], self.n_pieces)
 
 
 def count_words(text: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -216,18 +265,24 @@ def fit_parts(word: bytes) -> list[bytes]:
     return [*out, word[at:]]
 
 
+def fit_sample(known: DataFrame, sizes: DataFrame, fit_docs: int) -> DataFrame:
+    """lang, text of about ``fit_docs`` of the different rows (lang, text, h) of each language, by their hash."""
+    share = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    picked = known.join(F.broadcast(sizes), "lang").where(share < F.lit(float(fit_docs)) / F.col("n"))
+    return picked.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
+
+
 def fit(docs: DataFrame, pieces: list[bytes], fit_docs: int = FIT_DOCS, rounds: int = ROUNDS) -> Model:
-    """Learn from rows with text and language that are not held out: about ``fit_docs`` a language."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~common.held_out(F.col("doc_id")))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    langs = sorted(r["lang"] for r in sizes.limit(10_001).collect())  # language codes: a short list by nature
+    """Learn from rows with text and language that are not held out: about ``fit_docs`` different ones a language."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~common.held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    langs = sorted(r["lang"] for r in sizes.limit(MAX_LANGS + 1).collect())
     look = Pieces(pieces)
     if not langs:
         return Model([], look, np.zeros((look.n + 1, 0)))
-    if len(langs) > 10_000:
-        raise ValueError("more than 10,000 languages: not a column of languages")
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = known.join(F.broadcast(sizes), "lang").where(share < F.lit(float(fit_docs)) / F.col("n")).select("lang", "text")
+    if len(langs) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    sample = fit_sample(known, sizes, fit_docs)
 
     def run(batch: pa.RecordBatch):
         lang, text = batch.column(0), batch.column(1)
@@ -253,9 +308,7 @@ def fit(docs: DataFrame, pieces: list[bytes], fit_docs: int = FIT_DOCS, rounds:
         # Start: how often each piece stands in the words, longer pieces preferred.
         seen = np.zeros(look.n + 1)
         for lattice, weight in lattices:
-            per_byte = np.repeat(weight, lattice.size)
-            for length in range(1, MAX_PIECE + 1):
-                seen += np.bincount(lattice.piece[length - 1], per_byte, look.n + 1) * length**2
+            seen += np.bincount(lattice.piece, weight[lattice.word] * lattice.length**2, look.n + 1)
         seen = seen[:-1] + 0.01
         for _ in range(rounds):
             p[:-1, k] = seen / seen.sum()

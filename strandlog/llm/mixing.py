@@ -10,14 +10,15 @@ in the order of their keys -ln(u) / w until their running sum of words meets the
 hash of the id and the seed, and w is the document's quality weight. The document at the end is taken if
 that brings the source nearer to its target.
 
-A source may hold most rows, so no window runs over a source. Keys are cut into cells of about
-``CELL_ROWS`` rows by a monotone map of the key; cells are summed first, running sums of cells are joined
-back, and only rows of one cell are ordered together.
+A source may hold most rows, so no window runs over a source. Rows are dealt to *cells*, ranges of (source, key) that
+Spark cuts at measured quantiles, so they hold about as many rows each whatever the weights do to the keys;
+the sizes of a source's cells are summed first, and only rows of one cell are ordered together.
 
 Defined cases: a null source is a source of its own, last in order; a null or blank text has size 0 and is
-taken only in whole epochs, none of which shows; repeated rows are separate documents, repeated ids get
-equal keys and are ordered by their size; null ids hash as one id; an empty table gives an empty result;
-other columns of the input are ignored. Reruns agree: nothing random is drawn.
+taken only in whole epochs, none of which shows; repeated rows are separate documents; of rows of one id, or
+without one, each has a key of its own, from its text; rows alike in both are told apart by their place only,
+which doesn't show; ties go by id and size; texts of any length count whole; an empty table gives an empty
+result; other columns of the input are ignored. Reruns agree: nothing random is drawn.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ from strandlog.llm import common
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_EPOCHS = 2
-CELL_ROWS = 2000
 SEED = 42
 
 
@@ -54,6 +54,12 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     return levels.withColumn("target", target).select("source", "source_size", "n_docs", "weight", "target")
 
 
+def cells(sized: DataFrame) -> DataFrame:
+    """``sized`` (source, key, doc_id, size, tie) with ``cell``, a range of them in that order."""
+    order = (F.col("source").asc_nulls_last(), F.col("key"), F.col("doc_id"), F.col("size"), F.col("tie"))
+    return sized.repartitionByRange(*order).withColumn("cell", F.spark_partition_id())
+
+
 def quality_weight(text: Column) -> Column:
     """Weight of a document between 0.25 and 1: the share of its characters that are not symbols or capitals.
 
@@ -65,38 +71,43 @@ def quality_weight(text: Column) -> Column:
     return F.greatest(F.lit(0.25), F.lit(1.0) - F.lit(2.0) * odd / F.greatest(n, F.lit(1)))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED, quality: Column | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, epochs (times taken), taken (words)."""
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED, quality: Column | None = None, row_col: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, epochs (times taken), taken (words).
+
+    ``quality`` is the weight of each document; ``row_col`` names a column that is passed through as ``row``.
+    """
     weight = F.greatest(F.coalesce(quality if quality is not None else quality_weight(F.col("text")), F.lit(0.0)).cast("double"), F.lit(1e-6))
-    u = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    u = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
     sized = docs.select(
         "doc_id",
         "source",
         F.size(common.word_list(F.col("text"))).cast("long").alias("size"),
         (-F.log(u) / weight).alias("key"),
+        F.monotonically_increasing_id().alias("tie"),
+        *([F.col(row_col).alias("row")] if row_col else []),
     )
     sized = common.materialize(sized, "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     targets = source_targets(sizes, weights, share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.least(F.lit(max_epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(F.lit(0))
     targets = targets.withColumn("whole", whole.cast("int")).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    targets = targets.withColumn("cells", F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(CELL_ROWS))).cast("int"))
-    targets = targets.withColumnRenamed("source", "t_source")
+    targets = targets.withColumnRenamed("source", "t_source").drop("n_docs", "weight")
     few = targets.limit(common.BROADCAST_ROWS + 1).count() <= common.BROADCAST_ROWS
-    rows = sized.join(F.broadcast(targets) if few else targets, F.col("source").eqNullSafe(F.col("t_source")), "left").drop("t_source")
-    rows = rows.withColumn("cell", F.least(F.col("cells") - 1, F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * F.col("cells")).cast("int")))
+    rows = common.materialize(cells(sized), "mix-cells")
 
-    # Running sums of whole cells, then of the rows of a cell.
-    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+    # Sums of whole cells, a row for each cell and source in it, then of the rows of a cell.
+    sums = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     earlier = W.partitionBy("source").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
-    cells = cells.select(F.col("source").alias("c_source"), F.col("cell").alias("c_cell"), F.coalesce(F.sum("cell_size").over(earlier), F.lit(0)).alias("cells_before"))
-    inside = W.partitionBy("source", "cell").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select(F.col("source").alias("c_source"), F.col("cell").alias("c_cell"), F.coalesce(F.sum("cell_size").over(earlier), F.lit(0)).alias("cells_before"))
+    small = sums.limit(common.BROADCAST_ROWS + 1).count() <= common.BROADCAST_ROWS
+    inside = W.partitionBy("cell", "source").orderBy("key", "doc_id", "size", "tie").rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumn("in_cell", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(cells, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("cell") == F.col("c_cell")), "left")
+    rows = rows.join(F.broadcast(sums) if small else sums, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("cell") == F.col("c_cell")), "left")
+    rows = rows.join(F.broadcast(targets) if few else targets, F.col("source").eqNullSafe(F.col("t_source")), "left")
     before = F.col("cells_before") + F.col("in_cell")
     more = (F.col("whole") < max_epochs) & (F.col("rest") > 0) & (before + F.col("size") / F.lit(2.0) <= F.col("rest"))
     epochs = F.col("whole") + F.when(more, F.lit(1)).otherwise(F.lit(0))
-    return rows.select("doc_id", "source", "size", "source_size", "target", epochs.cast("int").alias("epochs"), (epochs * F.col("size")).cast("long").alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", epochs.cast("int").alias("epochs"), (epochs * F.col("size")).cast("long").alias("taken"), *(["row"] if row_col else []))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ A row has ``row_len`` ids (little-endian uint16, or int32 for a larger vocabular
 (cu_seqlens: 0 first, past the last segment last), position ids that start at 0 again in every segment
 (uint16 or int32), and doc_id and part number of each segment.
 
-Defined cases: null and empty texts are one end token; null ids stay null; repeated rows are packed again;
+Defined cases: null and empty texts are one end token; bytes that are no UTF-8 are a token each, so that every text
+comes back byte by byte; a very long text is tokenised whole and split; ids keep their type; null ids stay null; repeated rows are packed again;
 ties are packed in order of input; an empty table gives an empty result; other columns are ignored. Rows of
 one partition are numbered by (shard, row), which the same input files give again.
 """
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strandlog.llm import common, kernels
 
@@ -89,6 +92,14 @@ def chunk_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def _valid(raw: bytes) -> bool:
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 class Tokenizer:
     """Ids of whole columns; different chunks of a block are encoded once."""
 
@@ -97,10 +108,21 @@ class Tokenizer:
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for piece, i in ranks.items():
             self.width[i] = len(piece)
+        self.byte = {b: ranks[bytes([b])] for b in range(256) if bytes([b]) in ranks}
+
+    def encode(self, raw: bytes) -> list[int]:
+        """Ids of any bytes: those that are no UTF-8 are a token each, so the ids give the bytes back."""
+        try:
+            return self.enc.encode_ordinary(raw.decode())
+        except UnicodeDecodeError:
+            out = []
+            for part in re.split("([\udc80-\udcff])", raw.decode("utf-8", "surrogateescape")):
+                stray = len(part) == 1 and "\udc80" <= part <= "\udcff"
+                out += [self.byte[ord(part) - 0xDC00]] if stray else self.enc.encode_ordinary(part)
+            return out
 
     def _each(self, words: pa.Array) -> list[np.ndarray]:
-        core = self.enc.encode_ordinary
-        return [np.array(core(w.decode("utf-8", "replace")), np.int32) for w in words.to_pylist()]
+        return [np.array(self.encode(w), np.int32) for w in words.to_pylist()]
 
     def _joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each) of chunks that start with a space and end visibly, as one text.
@@ -123,6 +145,11 @@ class Tokenizer:
         raw, at = kernels.text_buffer(coded.dictionary)
         before, after = _ink(raw)
         plain = (np.diff(at) > 1) & (raw[at[:-1]] == 0x20) & after[np.minimum(at[:-1] + 1, len(raw) - 1)] & before[at[1:] - 1]
+        if plain.any():
+            try:
+                raw.tobytes().decode()
+            except UnicodeDecodeError:  # chunks that are no UTF-8 are encoded by themselves
+                plain[[i for i, w in enumerate(coded.dictionary.to_pylist()) if not _valid(w)]] = False
         one, one_size = self._joined(coded.dictionary.filter(pa.array(plain))) if plain.any() else (np.zeros(0, np.int32), np.zeros(0, np.int64))
         rest = self._each(coded.dictionary.filter(pa.array(~plain)))
         size = np.empty(len(plain), np.int64)
@@ -196,11 +223,13 @@ def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int =
 
     ``vocabulary`` is the path of a byte-level vocabulary for ``PATTERN``, read by the driver; ``ranks`` one already read.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ranks = ranks or load_ranks(vocabulary)
     end = max(ranks.values()) + 1
     shared = docs.sparkSession.sparkContext.broadcast((ranks, digest(ranks)))  # a fixed public vocabulary
+    kind = docs.schema["doc_id"].dataType
     schema = T.StructType.fromDDL("shard int, row int, n_tokens int, input_ids binary, cu_seqlens array<int>, position_ids binary, doc_ids array<long>, parts array<int>")
+    schema["doc_ids"].dataType = T.ArrayType(kind)
     id_type, pos_type = np.dtype("<u2" if end < 1 << 16 else "<i4"), np.dtype("<u2" if row_len < 1 << 16 else "<i4")
 
     def rows(names: list, ids: list[np.ndarray], first: int, shard: int) -> pa.RecordBatch:
@@ -236,7 +265,7 @@ def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int =
                 pa.array([x.tobytes() for x in out], pa.binary()),
                 pa.array(cu, pa.list_(pa.int32())),
                 pa.array([x.tobytes() for x in pos], pa.binary()),
-                pa.array(owners, pa.list_(pa.int64())),
+                pa.array(owners, pa.list_(to_arrow_type(kind))),
                 pa.array(numbers, pa.list_(pa.int32())),
             ],
             schema.names,

@@ -8,11 +8,13 @@ aggregate over the matches returns the verdicts.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and no rule; a URL is judged
 by its own text, so repeated rows and ids each get a row; with no rules, or no match, the verdict is
-``default``; other columns of the input are ignored.
+``default``; URLs of any length are judged whole; an empty table gives an empty result; other columns of the
+input are ignored.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -60,7 +62,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, id_co
     )
     shapes = keyed.select(F.size(F.split("r_host", r"\.")).alias("labels"), F.length("r_path").alias("chars")).distinct()
     # Shapes are pairs of small numbers: as many as rule lengths, whatever the number of rules.
-    found = [(r["labels"], r["chars"]) for r in shapes.collect()]
+    found = [(r["labels"], r["chars"]) for r in shapes.limit(common.BROADCAST_ROWS + 1).collect()]
+    if len(found) > common.BROADCAST_ROWS:
+        raise ValueError("more shapes of rules than a list can hold")
     few = keyed.limit(common.BROADCAST_ROWS + 1).count() <= common.BROADCAST_ROWS
 
     parts = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("u"))
@@ -70,12 +74,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, id_co
 
     # The same place is looked up once, however many pages have it.
     places = parts.where(F.col("u").contains("://")).select("host", "path").distinct()
+    # One expression over a constant list of shapes, not one a shape.
     labels = F.size(F.split("host", r"\."))
-    tries = []
-    for n, chars in found:
-        suffix = F.substring_index("host", ".", -n)
-        tries.append(F.when((labels >= n) & (F.length("path") >= chars), F.struct(suffix.alias("host"), F.expr(f"substring(path, 1, {chars})").alias("path"))))
-    expanded = places.select("host", "path", F.explode(F.array_compact(F.array(*tries))).alias("e"))
+    every = F.from_json(F.lit(json.dumps([{"n": n, "c": c} for n, c in sorted(found)])), "array<struct<n:int,c:int>>")
+    fits = F.filter(every, lambda s: (labels >= s["n"]) & (F.length("path") >= s["c"]))
+    tries = F.transform(fits, lambda s: F.struct(F.call_function("substring_index", F.col("host"), F.lit("."), -s["n"]).alias("host"), F.col("path").substr(F.lit(1), s["c"]).alias("path")))
+    expanded = places.select("host", "path", F.explode(tries).alias("e"))
     expanded = expanded.select("host", "path", F.sha2(F.concat_ws("\u0000", F.col("e.host"), F.col("e.path")), 256).alias("digest"))
     expanded = expanded.withColumn("short", F.substring("digest", 1, 8))
     hits = expanded.join(F.broadcast(keyed) if few else keyed, "short").where(F.col("digest") == F.col("r_digest"))

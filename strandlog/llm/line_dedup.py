@@ -14,7 +14,8 @@ The first copy of each run stays, and so do lines without a word.
 
 Defined cases: null and empty texts have no lines and stay as they are (null becomes empty); a repeated
 row or id is a further copy and is ordered by its text (equal ones by nothing that shows); a null id comes
-last; an empty table gives an empty result; other columns of the input are ignored.
+last; a text of any length is cut into all its lines, and its list of runs is no longer than it; an empty table
+gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations

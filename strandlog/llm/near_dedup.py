@@ -22,7 +22,8 @@ the threshold a pair shares no band with a probability of about 3e-7. There is n
 Defined cases: null and empty texts have no shingles, are linked with nothing and are kept; a text of fewer
 than five words is one shingle, the whole sequence; equal texts are one class and repeated ids are one
 document whose sets are linked if any of their texts is; rows with a null id have a null component and are
-kept; an empty table gives an empty result; other columns of the input are ignored.
+kept; ids may be of any type that has an order; very long texts are hashed whole, and a text of over a block of
+shingles meets others in a block of its own; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -3,8 +3,8 @@
 1. ``document_stats`` turns each whole text into a fixed vector of statistics (one pass over the texts,
    written once as a small table).
 2. The labelled rows give mean and spread of each statistic, then, per partition, Z'Z and Z'y of the
-   random Fourier features Z of a Gaussian kernel. The partial sums have a fixed size, and a fixed number
-   of them (``FIT_PARTITIONS``) goes to the driver, which solves the ridge system.
+   random Fourier features Z of a Gaussian kernel. The partial sums have a fixed size; they are added up in
+   ``SUMMED_TOGETHER`` tasks, whose sums go to the driver, which solves the ridge system.
 3. Raw scores of a part of the labelled rows that the ridge has not seen (``CALIBRATION_SHARE``) are counted
    into ``BINS`` bins; pool-adjacent-violators on the bins gives the calibration, interpolated between bins.
 4. Every row is scored from its statistics.
@@ -12,7 +12,8 @@
 Defined cases: a null text counts as empty and gets the score of an empty text; rows with a null label
 or without a document are not learned from; a document labelled twice counts twice; without labels of
 both kinds every score is the share of 1 among them, or 0.5; repeated rows get equal scores; null ids are
-scored and never held out; other columns of the input are ignored.
+scored and never held out; texts of any length count whole, those of over a block by themselves; an empty table
+of documents gives an empty result, and what is learned from it is a constant; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ RIDGE = 1.0
 THRESHOLD = 0.7
 BINS = 512
 CALIBRATION_SHARE = 4  # one labelled row in so many calibrates, the others fit
-FIT_PARTITIONS = 16
+SUMMED_TOGETHER = 16  # partial sums of all partitions meet in so many tasks, and theirs on the driver
 SEED = 7
 
 _CLASSES = {
@@ -193,7 +194,15 @@ def _summed(rows: DataFrame, fn, size: int) -> np.ndarray:
                 total += fn(_matrix(b.column(0)), b.column(1).to_numpy(zero_copy_only=False).astype(float))
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sum"])
 
-    parts = rows.select("stats", "quality").mapInArrow(run, "sum binary").collect()  # FIT_PARTITIONS rows of a fixed size
+    def add(batches):
+        total = np.zeros(size)
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                total += np.frombuffer(x)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sum"])
+
+    each = rows.select("stats", "quality").mapInArrow(run, "sum binary")
+    parts = each.repartition(SUMMED_TOGETHER).mapInArrow(add, "sum binary").collect()  # so many rows of a fixed size
     return np.sum([np.frombuffer(p["sum"]) for p in parts], 0) if parts else np.zeros(size)
 
 
@@ -201,7 +210,7 @@ def fit(stats: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled rows of ``stats`` that are not held out."""
     known = labels.select(F.col("doc_id"), F.col("quality")).where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     train = stats.where(~F.col("held_out")).join(known, "doc_id").select("doc_id", "stats", "quality")
-    train = common.materialize(train.repartition(FIT_PARTITIONS), "quality-train")
+    train = common.materialize(train, "quality-train")
     d = len(STATS)
     sums = _summed(train, lambda x, y: np.concatenate([[len(x), y.sum()], x.sum(0), (x * x).sum(0)]), 2 + 2 * d)
     n, ones = sums[:2]
@@ -240,6 +249,12 @@ def fit(stats: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
+def fit_documents(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learn from the labelled documents, reading the statistics of no others."""
+    known = docs.join(labels.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+    return fit(stats_table(known), labels)
+
+
 def score(stats: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of each row of ``stats``."""
     kind = stats.schema["doc_id"].dataType

@@ -6,7 +6,9 @@ so the whole operator is one map-side projection: no shuffle, no Python, nothing
 text in hand.
 
 Defined cases: a null text counts as empty; an empty text has no words, fails the length rule and is
-not kept; repeated rows and ids are judged each for itself; other columns of the input are ignored.
+not kept; repeated rows and ids are judged each for itself, so there are no ties; a text is judged whole,
+as long as its words fit an array of the row in hand; null ids stay null; an empty table gives an empty
+result; other columns of the input are ignored.
 """
 
 from __future__ import annotations

@@ -21,6 +21,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def exists(spark: SparkSession, sf_dir: str, table: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

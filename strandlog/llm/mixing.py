@@ -71,12 +71,14 @@ def quality_weight(text: Column) -> Column:
     return F.greatest(F.lit(0.25), F.lit(1.0) - F.lit(2.0) * odd / F.greatest(n, F.lit(1)))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED, quality: Column | None = None, row_col: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED, quality: Column | None = None, row_col: str | None = None, scores: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, epochs (times taken), taken (words).
 
-    ``quality`` is the weight of each document; ``row_col`` names a column that is passed through as ``row``.
+    ``quality`` is the weight of each document; ``row_col`` names a column that is passed through as ``row``, and
+    ``scores`` (row, score) has the weights by row instead, a table that the texts needn't meet.
     """
-    weight = F.greatest(F.coalesce(quality if quality is not None else quality_weight(F.col("text")), F.lit(0.0)).cast("double"), F.lit(1e-6))
+    at_least = lambda w: F.greatest(F.coalesce(w, F.lit(0.0)).cast("double"), F.lit(1e-6))
+    weight = at_least(F.lit(1.0) if scores is not None else quality if quality is not None else quality_weight(F.col("text")))
     u = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
     sized = docs.select(
         "doc_id",
@@ -86,6 +88,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
         F.monotonically_increasing_id().alias("tie"),
         *([F.col(row_col).alias("row")] if row_col else []),
     )
+    if scores is not None:
+        sized = sized.join(scores.select("row", "score"), "row", "left").withColumn("key", F.col("key") / at_least(F.col("score"))).drop("score")
     sized = common.materialize(sized, "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     targets = source_targets(sizes, weights, share, max_epochs)

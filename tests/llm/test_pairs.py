@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandlog.llm import components, near_dedup, suffix_dedup
 
@@ -342,3 +343,81 @@ def test_pieces_cover_every_window_once():
         for doc, n in enumerate(sizes):
             mine = sorted(x[1:] for x in seen if x[0] == doc)
             assert not mine if n < 50 else (mine[0][0] == offs[doc] and mine[-1][1] == offs[doc + 1] - 49 and all(a[1] == b[0] for a, b in zip(mine, mine[1:], strict=False)))
+
+
+ODD_KIND = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, _row int, key int, doc string, epochs int"
+
+
+def plain_targets(docs):
+    """Targets of sources by resharing, as the contract words it."""
+    names = sorted({d[2] for d in docs if d[2] is not None}) + ([None] if any(d[2] is None for d in docs) else [])
+    size = {s: sum(len((d[1] or "").split()) for d in docs if d[2] == s) for s in names}
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    want, free, left = {}, set(names), 1.5 * sum(size.values())
+    while free:
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > 2 * size[s]]
+        if not over:
+            return want | share
+        for s in over:
+            want[s] = 2.0 * size[s]
+            left -= want[s]
+            free.discard(s)
+    return want
+
+
+def test_pipeline_is_the_plain_one(spark, tmp_path):
+    """All five stages through ``run`` against plain Python, on odd rows and labels of both kinds."""
+    from collections import Counter
+
+    from strandlog.llm import packing, quality_classifier
+    from tests.llm.test_rowwise import brute_mix, overlaps_that_count
+
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(51)
+    good = lambda n=60: " ".join(f"word{k}" for k in rng.integers(0, 900, n)) + "."
+    bad = lambda: " ".join(rng.choice(["$$$", "###", "|||", "%%"], 60))
+    source = lambda: [None, "a", "b", "c"][int(rng.integers(0, 4))]
+    docs = [(i, bad() if i % 5 == 0 else good(int(rng.integers(30, 90))), source()) for i in range(160)]
+    items = [(1, good(30)), (2, good(20)), (3, None)]
+    docs += [(200, docs[1][1], "a"), (201, docs[2][1] + " tail", "b"), (3, docs[4][1], "c"), (3, good(), "a"), (6, docs[6][1], docs[6][2])]
+    docs += [(None, bad(), "a"), (None, good(), None), (None, good(10) + " " + items[0][1], "b"), (210, good(9) + " " + items[1][1] + " x", "a"), (7, items[0][1], "c")]
+    table = spark.createDataFrame([(i, t, "en", s, None, f"x{k}", k, k, "d", 9) for k, (i, t, s) in enumerate(docs)], ODD_KIND).repartition(3)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(160)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    judged = quality_classifier.classify(table.withColumn("doc_id", F.struct("doc_id", "_row")).withColumn("own", F.col("doc_id.doc_id")).select("doc_id", "text"), labels.select(F.struct("doc_id", F.lit(0).alias("_row")).alias("doc_id"), "quality"))
+    assert judged.count() == len(docs)
+    kept = [d for d in docs if not d[1].startswith(("$$$", "###", "|||", "%%"))]
+    near = brute_near([(k, t) for k, (i, t, _) in enumerate(kept) if i is not None], 80)
+    first = {}
+    for k, (_, c) in near.items():
+        first[c] = min(first.get(c, (10**9, 0)), (kept[k][0], k))
+    kept = [d for k, d in enumerate(kept) if d[0] is None or (d[0], k) in first.values()]
+    tokens = lambda t: t.replace(".", " ").split()
+    kept = [d for d in kept if not any(t and overlaps_that_count(tokens(d[1]), tokens(t)) for _, t in items)]
+    # The classifier's scores, learned apart from the stages.
+    model = quality_classifier.fit(quality_classifier.stats_table(table.select("doc_id", "text")), labels)
+    scores = {bytes(r["stats"]): None for r in quality_classifier.stats_table(table.select("doc_id", "text")).collect()}
+    for raw in scores:
+        scores[raw] = float(model.score(np.frombuffer(raw, "<f4").astype(float)[None])[0])
+    of_text = {t: bytes(quality_classifier.document_stats(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])).astype("<f4").tobytes()) for _, t, _ in docs}
+    weighted = [(*d, max(scores[of_text[d[1]]], 1e-6)) for d in kept]
+    taken = brute_mix(weighted, plain_targets(kept))
+    want = Counter()
+    for d, n in zip(kept, taken, strict=True):
+        want[d[0], d[1]] += n // len(d[1].split())
+
+    enc, parts = packing.encoding(packing.load_ranks()), Counter()
+    pieces = {}
+    for r in pipeline.run(spark, str(tmp_path)).collect():
+        for doc, part, ids in packing.unpack(r.asDict()):
+            assert part == 0  # all are shorter than a row
+            parts[doc, enc.decode([int(x) for x in ids[:-1]])] += 1
+    assert parts == Counter({k: n for k, n in want.items() if n}) and not pieces
+    docs_in = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in pipeline.STAGES[:-1]:
+        assert stage(spark, docs_in, str(tmp_path)).columns == docs_in.columns
+        assert stage(spark, docs_in.limit(0), str(tmp_path)).count() == 0

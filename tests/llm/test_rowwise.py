@@ -364,3 +364,193 @@ def test_packing_takes_other_vocabularies(spark):
         assert len(row["input_ids"]) == 16 * np.dtype(kind).itemsize and (doc, part) == (1, 0)
         assert list(ids) == [*packing.encoding(ranks).encode_ordinary("a w w b"), max(ranks.values()) + 1]
     assert len(ids) == 6
+
+
+def python_key(doc_id, text, weight, seed=42):
+    """The key of a document as the module words it, by the public hash."""
+    import xxhash
+
+    h = 42
+    for raw in (None if doc_id is None else str(doc_id).encode(), None if text is None else text.encode()):
+        h = h if raw is None else xxhash.xxh64(raw, seed=h).intdigest()
+    h = xxhash.xxh64(int(seed).to_bytes(4, "little"), seed=h).intdigest()
+    return -np.log(((h % (1 << 52)) + 0.5) / (1 << 52)) / weight
+
+
+def brute_mix(docs, targets):
+    """Words taken of each (doc_id, text, source, weight): whole epochs, then by key until the rest is nearest."""
+    out = [0] * len(docs)
+    for source, target in targets.items():
+        mine = [k for k, d in enumerate(docs) if d[2] == source]
+        size = {k: len(words(docs[k][1])) for k in mine}
+        total = sum(size.values())
+        whole = min(2, int(target // total)) if total else 0
+        rest, before = target - whole * total, 0
+        for k in sorted(mine, key=lambda k: (python_key(docs[k][0], docs[k][1], docs[k][3]), -1 if docs[k][0] is None else docs[k][0], size[k])):
+            more = whole < 2 and rest > 0 and before + size[k] / 2 <= rest
+            out[k] = (whole + more) * size[k]
+            before += size[k]
+    return out
+
+
+def test_mix_selects_by_key(spark):
+    rng = np.random.default_rng(41)
+    docs = [(int(rng.integers(0, 90)) if rng.random() < 0.9 else None, " ".join(f"w{x}" for x in rng.integers(0, 50, int(rng.integers(0, 30)))), [None, "a", "b", "c"][int(rng.integers(0, 4))], float(rng.choice([1.0, 0.25, 0.01]))) for _ in range(500)]
+    table = spark.createDataFrame([(*d, 7, 8) for d in docs], "doc_id long, text string, source string, q double, cell int, tie int")
+    rows = mixing.mix(table, quality=F.col("q")).collect()
+    targets = {r["source"]: r["target"] for r in rows}
+    want = sorted((str(d[0]), str(d[2]), t) for d, t in zip(docs, brute_mix(docs, targets), strict=True))
+    assert sorted((str(r["doc_id"]), str(r["source"]), r["taken"]) for r in rows) == want
+    # The same by a table of scores.
+    numbered = table.withColumn("k", F.monotonically_increasing_id())
+    again = mixing.mix(numbered, row_col="k", scores=numbered.select(F.col("k").alias("row"), F.col("q").alias("score"))).collect()
+    assert sorted((str(r["doc_id"]), str(r["source"]), r["taken"]) for r in again) == want and len({r["row"] for r in again}) == 500
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.25, 1e-6])
+def test_cells_are_even(spark, weight):
+    u = (F.xxhash64("id") % (1 << 40) / F.lit(float(1 << 41))) + F.lit(0.5)
+    sized = spark.range(40_000).select(F.lit("hot").alias("source"), (-F.log(u) / weight).alias("key"), F.lit(None).cast("long").alias("doc_id"), F.lit(5).alias("size"), F.col("id").alias("tie"))
+    same = sized.withColumn("key", F.lit(1.0))  # rows alike in all but their place
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else small tables are one cell
+    try:
+        for table in (sized, same):
+            n = [r["count"] for r in mixing.cells(table).groupBy("cell").count().collect()]
+            assert sum(n) == 40_000 and len(n) >= 4 and max(n) < 1.5 * 40_000 / len(n)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_decontamination_of_any_script(spark):
+    zh = "哪个城市是法国的首都并且有一条河流经过"
+    ru = "Какой город является столицей Франции и стоит на реке Сена"
+    items = [("zh", zh), ("ru", ru), ("sum", "1+1=2"), ("who", "Who wrote it?"), ("hi", "नमस्ते दुनिया यह एक परीक्षण वाक्य है"), ("one", "yes"), (None, zh)]
+    fill = " ".join(f"filler{k}" for k in range(60))
+    docs = [
+        (1, f"{fill} {zh}。{fill}"), (2, f"{fill} {ru.upper()} {fill}"), (3, f"{fill} is 1+1=2 or not"), (4, f"so: WHO wrote it, then {fill}"),
+        (5, f"{fill} 1, 1 and 2; who it wrote"), (6, "法国有一条河"), (7, zh[:8] + "镇" + zh[9:]), (8, "yes yes"), (9, items[4][1]), (10, ru.replace("Франции", "Италии")),
+    ]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {1: ["zh"], 2: ["ru"], 3: ["sum"], 4: ["who"], 5: [], 6: [], 7: ["zh"], 8: [], 9: ["hi"], 10: ["ru"]}
+
+
+def test_token_spans():
+    import pyarrow as pa
+    import unicodedata
+
+    rng = np.random.default_rng(43)
+    letters = list("aZ9 ,.-ß语文かไทยéй́ि\U0001f600 　´")
+    texts = ["".join(rng.choice(letters, int(rng.integers(0, 40)))) for _ in range(300)] + ["", None, "é", "语"]
+    alone = lambda c: any(a <= ord(c) <= b for a, b in decontaminate.UNSPACED)
+    for part in (texts, ["plain ASCII only", ""]):
+        (t,) = decontaminate.tokens(pa.array(part, pa.string()))
+        raw = "".join(x or "" for x in part).encode()
+        for k, text in enumerate(part):
+            want, now = [], ""
+            for c in text or "":
+                inside = unicodedata.category(c)[0] in "LMN"
+                if now and (not inside or alone(c)):
+                    want, now = [*want, now], ""
+                if inside and alone(c):
+                    want.append(c)
+                elif inside:
+                    now += c
+            want += [now] if now else []
+            assert [raw[a:b].decode() for a, b in zip(t.start[t.offs[k] : t.offs[k + 1]], t.end[t.offs[k] : t.offs[k + 1]], strict=True)] == want
+
+
+def test_decontamination_is_the_plain_one(spark):
+    rng = np.random.default_rng(44)
+    items = [(k, " ".join(f"w{x}" for x in rng.integers(0, 60, int(rng.integers(0, 30))))) for k in range(40)]
+    docs = []
+    for i in range(200):
+        t = items[int(rng.integers(0, 40))][1].split()
+        t = [x if rng.random() < 0.75 else f"n{rng.integers(0, 99)}" for x in t]
+        docs.append((i if i % 9 else None, " ".join([f"w{x}" for x in rng.integers(0, 60, int(rng.integers(0, 12)))] + t)))
+    want = {}
+    for i, t in docs:
+        mine = {k for k, x in items if len(x.split()) >= 5 and overlaps_that_count(t.split(), x.split())}
+        mine |= {k for k, x in items if 2 <= len(x.split()) < 5 and f" {x} " in f" {t} "}
+        want[i] = want.get(i, set()) | mine
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert len(got) == 200 and {r["doc_id"]: set(r["item_ids"]) for r in got} == want
+
+
+def test_long_pieces_are_used():
+    pieces = sorted([bytes([b]) for b in b" abcdefghijklmnop"] + [b" abcdefghi", b"abcdefghijk", b"abcdefghijklmn", b"bc", b"cdefghijklmnop"])
+    look = language_id.Pieces(pieces)
+    rng = np.random.default_rng(5)
+    p = np.vstack([rng.random((len(pieces), 3)), np.zeros((1, 3))])
+    prob = {w: p[i] for i, w in enumerate(pieces)}
+
+    def total(s):
+        return np.ones(3) if not s else sum((prob[s[:k]] * total(s[k:]) for k in range(1, len(s) + 1) if s[:k] in prob), np.zeros(3))
+
+    words_ = [b"abcdefghijklmnop", b"abcdefghijkabcdefghi", b"bcdefghi", b"a"]
+    lattice, order = language_id.Lattice.of(words_, look)
+    out = np.empty((len(words_), 3))
+    out[order] = lattice.forward(p)
+    assert all(np.allclose(got, np.log(total(b" " + w))) for w, got in zip(words_, out, strict=True))
+    known = language_id.load_pieces()
+    assert max(map(len, known)) > 20 and set(known) >= {bytes([b]) for b in range(1, 256)}
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.range(6000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    docs = docs.unionByName(spark.range(9000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same text").alias("text"), F.lit("en").alias("lang")))
+    docs = docs.unionByName(spark.range(700).select(F.lit(5).cast("long").alias("doc_id"), F.lit("ein Text").alias("text"), F.lit("de").alias("lang")))
+    known = docs.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    got = {r["lang"]: r["count"] for r in language_id.fit_sample(known, sizes, 600).groupBy("lang").count().collect()}
+    assert 400 < got["en"] < 800 and got["de"] == 1
+
+
+def test_packing_gives_any_bytes_back(spark):
+    raw = [b"ab \xff\xfe cd", b"\xc3 x", b"a \xc3\x28 b caf\xc3\xa9 \x80", "é ü".encode(), b""]
+    docs = spark.createDataFrame([(f"id{k}", bytearray(x)) for k, x in enumerate(raw)], "doc_id string, b binary").selectExpr("doc_id", "CAST(b AS string) AS text")
+    enc, got = packing.encoding(packing.load_ranks()), {}
+    for r in packing.pack(docs, row_len=64).collect():
+        for doc, _, ids in packing.unpack(r.asDict()):
+            assert ids[-1] == packing.END
+            got[doc] = enc.decode_bytes([int(x) for x in ids[:-1]])
+    assert got == {f"id{k}": x for k, x in enumerate(raw)}
+
+
+def test_ridge_is_the_plain_one(spark):
+    """Weights and scores against a plain solver on the same statistics."""
+    rng = np.random.default_rng(46)
+    docs = [(i, " ".join(rng.choice([f"word{k}" for k in range(40)], int(rng.integers(3, 60)))) + (" ###" * int(rng.integers(0, 9)) if i % 3 else ""), i % 3 == 0) for i in range(900)]
+    table = spark.createDataFrame([(i, t) for i, t, _ in docs], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(q), 0) for i, _, q in docs], "doc_id long, quality int, toxic int")
+    stats = quality_classifier.stats_table(table)
+    model = quality_classifier.fit(stats, labels)
+    rows = [(r["doc_id"], r["held_out"], np.frombuffer(r["stats"], "<f4").astype(float)) for r in stats.collect()]
+    mark = {r["doc_id"]: r["m"] for r in table.select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(quality_classifier.CALIBRATION_SHARE)) == 0).alias("m")).collect()}
+    kind = {i: float(q) for i, _, q in docs}
+    known = [(i, x) for i, held, x in rows if not held]
+    x = np.stack([v for _, v in known])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale[x.std(0) > 1e-3], x.std(0)[x.std(0) > 1e-3], rtol=1e-4)
+    fitted = [(i, v) for i, v in known if not mark[i]]
+    z = model.features(np.stack([v for _, v in fitted]))
+    y = np.array([kind[i] for i, _ in fitted])
+    penalty = np.eye(z.shape[1]) * quality_classifier.RIDGE
+    penalty[-1, -1] = 1e-6
+    plain = np.linalg.lstsq(np.vstack([z, np.sqrt(penalty)]), np.concatenate([y, np.zeros(z.shape[1])]), rcond=None)[0]
+    assert np.allclose(z @ model.weights, z @ plain, atol=1e-4)
+    # The features' inner products are the Gaussian kernel, up to chance.
+    a = np.clip((x[:60] - model.mean) / model.scale, -6, 6)
+    kernel = np.exp(-quality_classifier.GAMMA * ((a[:, None] - a[None]) ** 2).sum(2))
+    assert np.abs(model.features(x[:60])[:, :-1] @ model.features(x[:60])[:, :-1].T - kernel).mean() < 0.08
+    again = quality_classifier.fit_documents(table, labels)
+    assert np.allclose(again.weights, model.weights, atol=1e-6)
+
+
+def test_many_shapes_of_rules(spark):
+    rules = [("block", ".".join(["a"] * (1 + k % 7) + ["com"]), "/" + "x" * (k % 90)) for k in range(630)] + [("allow", "a.com", "/xx")]
+    pages = spark.createDataFrame([(k, f"http://{'b.' * k}{'a.' * k}com/{'x' * (9 * k)}") for k in range(9)], "page_id int, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filters.judge_urls(pages, url_filters.rule_table(spark, rules)).collect()}
+    for k in range(9):
+        host, path = f"{'b.' * k}{'a.' * k}com", "/" + "x" * (9 * k)
+        fits = [(len(h) + len(x), len(h), a, h + x) for a, h, x in rules if (host == h or host.endswith("." + h)) and path.startswith(x)]
+        assert got[k] == ((max(fits)[3], max(fits)[2]) if fits else (None, "allow"))

@@ -1,8 +1,15 @@
 """The corpus pipeline: documents to packed token rows in five stages, each an operator of its own.
 
 Every stage is a function of (spark, docs, sf_dir). ``run`` writes each stage's rows as Parquet in the shared
-folder and reads them back as the next one's documents. All but the last return the columns of documents;
-rows with a null id stay unless a stage rejects their text by itself.
+folder and reads them back as the next one's documents. All but the last return the columns of documents.
+
+Stages decide on rows, not on ids: a row is known by its id and two hashes of its text, or by a number of its own,
+and travels as one struct, so that other columns may have any name.
+
+Defined cases: rows with a null id or text are judged as any other by the quality, decontamination and mixing
+stages; near-duplicates keeps rows with a null id, as its operator does; of rows given twice, near-duplicates keeps
+one; where ids repeat, each text is judged for itself; ties are settled by the operators; texts of any length are
+taken whole; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -12,56 +19,71 @@ from pyspark.sql import functions as F
 
 from strandlog.llm import common, decontaminate, mixing, near_dedup, packing, quality_classifier
 
-
 #: Per cent of shared shingles from which the stage drops a copy; the contract of op10's own query is higher.
 NEAR = 80
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``, the id and two hashes of the text: rows of one key are judged alike."""
-    return docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), F.reverse("text")).alias("b")))
+def _rows(docs: DataFrame) -> DataFrame:
+    """Each row as the struct ``doc``, with its ``key``: the id and two hashes of the text."""
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    key = F.struct("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), F.reverse("text")).alias("b"))
+    return docs.select(F.struct(*quoted).alias("doc"), key.alias("key"))
+
 
+def _documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` again, with its columns."""
+    return rows.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
-def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``keyed`` whose key, null ids too, isn't among the ids of ``rejected``."""
-    keys = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
-    return keyed.join(keys, keyed["_key"] == keys["_rejected"], "left_anti").drop("_key")
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose key, null ids too, isn't among the ids of ``rejected``."""
+    keys = rejected.select(F.col("doc_id").alias("rejected")).distinct()
+    return rows.join(keys, rows["key"] == keys["rejected"], "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what the classifier predicts to be good."""
-    keyed = _keyed(docs)
-    stats = common.materialize(quality_classifier.stats_table(keyed, id_col="_key"), "quality-stats")
+    rows = _rows(docs)
+    stats = common.materialize(quality_classifier.stats_table(rows, id_col="key", text_col="doc.text"), "quality-stats")
     own = F.col("doc_id.doc_id")
     model = quality_classifier.fit(stats.select(own.alias("doc_id"), common.held_out(own).alias("held_out"), "stats"), common.read(spark, sf_dir, "labels"))
-    return _without(keyed, quality_classifier.score(stats, model).where("predicted = 0"))
+    return _documents(_without(rows, quality_classifier.score(stats, model).where("predicted = 0")), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component of near copies: the one of smallest id, in one row.
 
     Rows are compared by a number of their own, so texts that share an id are judged each for itself.
-    Rows with a null id stay.
+    Rows with a null id stay, as in the operator.
     """
-    rows = common.materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
-    judged = near_dedup.near_duplicates(rows.where("doc_id is not null"), NEAR, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    first = judged.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
-    kept = first.select("first._row").unionByName(rows.where("doc_id is null").select("_row"))
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    rows = common.materialize(_rows(docs).drop("key").withColumn("row", F.monotonically_increasing_id()), "near-rows")
+    judged = near_dedup.near_duplicates(rows.where("doc.doc_id is not null"), NEAR, id_col="row", text_col="doc.text").select(F.col("doc_id").alias("row"), "component_id")
+    first = judged.join(rows.select("row", "doc.doc_id"), "row").groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    kept = first.select("first.row").unionByName(rows.where("doc.doc_id is null").select("row"))
+    return _documents(rows.join(kept, "row", "left_semi"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark passage."""
-    keyed = _keyed(docs)
-    judged = decontaminate.contamination(keyed, common.read(spark, sf_dir, "benchmark"), id_col="_key")
-    return _without(keyed, judged.where("contaminated"))
+    rows = _rows(docs)
+    judged = decontaminate.contamination(rows, common.read(spark, sf_dir, "benchmark"), id_col="key", text_col="doc.text")
+    return _documents(_without(rows, judged.where("contaminated")), docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
-    taken = mixing.mix(docs).groupBy("doc_id").agg(F.max("epochs").alias("_epochs")).withColumnRenamed("doc_id", "_taken_id")
-    mixed = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_taken_id"])).where("_epochs > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_epochs")))).select(*docs.columns)
+    """Each row as many times as the mix takes it, better ones first: the classifier's score is the weight.
+
+    Stages hand on documents only, so the classifier is learned again, from the labelled ones alone of the table
+    of documents, which has the rejected ones too; without such a table, from those at hand.
+    """
+    every = common.read(spark, sf_dir, "documents") if common.exists(spark, sf_dir, "documents") else docs
+    model = quality_classifier.fit_documents(every.select("doc_id", "text"), common.read(spark, sf_dir, "labels"))
+    rows = common.materialize(_rows(docs).drop("key").withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    scores = quality_classifier.score(quality_classifier.stats_table(rows, id_col="row", text_col="doc.text"), model)
+    scores = common.materialize(scores.select(F.col("doc_id").alias("row"), "score"), "mix-scores")
+    taken = mixing.mix(rows.select("doc.doc_id", "doc.text", "doc.source", "row"), row_col="row", scores=scores).where("epochs > 0").select("row", "epochs")
+    copies = rows.join(taken, "row").select("doc", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
+    return _documents(copies, docs)
 
 
 def token_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +99,7 @@ STAGES = [
     ("token-ID output", token_rows),
 ]
 
-#: Trained scores, sketches and a tokenizer are not expressible in SQL; the tests use a plain version.
+#: Trained scores, sketches and a tokenizer are not expressible in SQL; the tests run a plain version of all stages.
 ORACLE_SQL = None
 
 

@@ -53,6 +53,7 @@ BUCKET_BYTES = 8 << 20  # text that a bucket stands for
 BATCH_BYTES = 4 << 20  # text that sends its hashes and contexts together
 BLOCK_TEXT = 512 << 10  # contexts sorted together, unless one anchor has more
 SORT_ROWS = 1 << 20
+MARKED_AT_ONCE = 1 << 17  # occurrences of contexts
 PIECE = 512 << 10  # bytes whose anchors are found together
 _POS_BITS = np.uint64(28)  # of a place in a piece
 _LATE = 2**63 - 1  # the order of a null id
@@ -242,7 +243,6 @@ class Contexts:
         self.first = self.order[new]
         self.buckets = np.unique(u)
         self.edge = np.append(np.searchsorted(unit[self.first], self.buckets), len(self.first))
-        self.occurs = np.append(np.searchsorted(u, self.buckets), len(u))
 
 
 def ask_contexts(texts: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
@@ -273,20 +273,23 @@ def cut_texts(texts: DataFrame, marks: DataFrame, answers: DataFrame, buckets: i
     def cut(batch: pa.RecordBatch):
         for k, (_, ords, fps, data, offs) in enumerate(_texts(batch)):
             x = Contexts(data, offs, ords, batch.column(5)[k].as_py(), buckets)
-            delta = np.zeros(len(data) + 2, np.int64)
+            delta, smaller = np.zeros(len(data) + 2, np.int32), np.zeros(len(x.first), np.uint32)
             for t in batch.column(6)[k].as_py():
                 b = int(np.searchsorted(x.buckets, t["bucket"]))
-                n, v = np.frombuffer(t["n"], "u1").astype(np.int64), np.frombuffer(t["v"], "<i8")
-                size, o = x.size[x.first[x.edge[b] : x.edge[b + 1]]] - DEPTH + 1, x.order[x.occurs[b] : x.occurs[b + 1]]
-                ctx = x.which[x.occurs[b] : x.occurs[b + 1]] - x.edge[b]
-                base, each = np.cumsum(n) - n, n[ctx]
+                smaller[x.edge[b] : x.edge[b + 1]] = np.frombuffer(t["smaller"], "<u4")
+            n, least = x.size[x.first] - DEPTH + 1, ords[x.doc[x.first]]
+            # Occurrences past the batch's smallest order lose every window, the others those of the answer.
+            lost = np.where(ords[x.doc[x.order]] > least[x.which], _windows(n)[x.which], smaller[x.which])
+            lose = np.flatnonzero(lost)
+            for at in range(0, len(lose), MARKED_AT_ONCE):
+                o = lose[at : at + MARKED_AT_ONCE]
+                each = n[x.which[o]]
                 occ = np.repeat(np.arange(len(o)), each)
                 step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-                hit = v[base[ctx][occ] + step] < ords[x.doc[o]][occ]
-                occ, step = occ[hit], step[hit]
-                a = x.at[o][occ] + step
-                end = a + np.where(each[occ] == 1, size[ctx][occ] - 1, 0) + DEPTH
-                delta += np.bincount(a, minlength=len(delta)) - np.bincount(end, minlength=len(delta))
+                hit = (lost[o][occ] >> step.astype(np.uint32)) & np.uint32(1) == 1
+                a = x.at[x.order[o]][occ[hit]] + step[hit]
+                low, high = int(a.min()), int(a.max()) + DEPTH + 1
+                delta[low:high] += (np.bincount(a - low, minlength=high - low) - np.bincount(a - low + DEPTH, minlength=high - low)).astype(np.int32)
             gone = np.cumsum(delta[:-2]) > 0
             lost = np.concatenate(([0], np.cumsum(gone)))
             rows = []
@@ -424,8 +427,13 @@ def least_orders(rel: np.ndarray, size: np.ndarray, data: np.ndarray, least: np.
     return out[at]
 
 
+def _windows(n: np.ndarray) -> np.ndarray:
+    """The n lowest bits: SPAN at most, so 32 are enough."""
+    return ((np.uint64(1) << n.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+
+
 def _solve(table: pa.Table):
-    """For each row of a bucket, the smallest order of each window of its contexts: one number if all are equal."""
+    """For each row of a bucket and each of its contexts, which windows a smaller order has."""
     rel, count = _cat(table["rel"], "u1")
     size, least = _cat(table["len"], "u1")[0].astype(np.int64), _cat(table["least"], "<i8")[0]
     past, first = np.cumsum(size), np.concatenate(([0], np.cumsum(count)))
@@ -465,18 +473,21 @@ def _solve(table: pa.Table):
             parts.append(least_orders(rel[pick], n, text, low[mixed[x:y]]))
         values = np.concatenate(parts)
         at[mixed] = np.cumsum(many[mixed]) - many[mixed]
-    out_n, out_v = [], []
+    # One number a context: a bit for each of its windows, set if a smaller id than the batch's own has it.
+    out = []
     for r in range(len(count)):
-        k = kind[first[r] : first[r + 1]]
-        n = np.where(at[k] < 0, 1, many[k])
-        v = np.repeat(low[k], n)
-        m = np.repeat(at[k] >= 0, n)
-        place = np.repeat(at[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        if len(mixed):
-            v[m] = values[place[m]]
-        out_n.append(n.astype("u1").tobytes())
-        out_v.append(v.astype("<i8").tobytes())
-    yield pa.RecordBatch.from_arrays([table["bucket"].combine_chunks(), table["batch"].combine_chunks(), pa.array(out_n, pa.binary()), pa.array(out_v, pa.binary())], ["bucket", "batch", "n", "v"])
+        mine = slice(first[r], first[r + 1])
+        k, own = kind[mine], least[mine]
+        bits = np.where(low[k] < own, _windows(many[k]), np.uint32(0))
+        pick = np.flatnonzero(at[k] >= 0)
+        if len(pick):
+            n = many[k[pick]]
+            start = np.cumsum(n) - n
+            step = np.arange(n.sum()) - np.repeat(start, n)
+            smaller = values[np.repeat(at[k[pick]], n) + step] < np.repeat(own[pick], n)
+            bits[pick] = np.bitwise_or.reduceat(smaller.astype(np.uint32) << step.astype(np.uint32), start)
+        out.append(bits.astype("<u4").tobytes())
+    yield pa.RecordBatch.from_arrays([table["bucket"].combine_chunks(), table["batch"].combine_chunks(), pa.array(out, pa.binary())], ["bucket", "batch", "smaller"])
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -498,7 +509,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts, name, path = pack_batches(reps)
     marks = repeated_anchors(texts, buckets, tasks)
     asked = ask_contexts(texts, marks, buckets).repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    answers = _by_batch(asked.mapInArrow(lambda it: _grouped(it, _solve), "bucket int, batch long, n binary, v binary"), "substring-answers")
+    answers = _by_batch(asked.mapInArrow(lambda it: _grouped(it, _solve), "bucket int, batch long, smaller binary"), "substring-answers")
     changed = common.materialize(cut_texts(texts, marks, answers, buckets).distinct(), "substring-cut")
     common.free(marks, answers)
     common.drop_table(docs.sparkSession, name, path)

@@ -224,7 +224,7 @@ def bucket_links(key: np.ndarray, regs: np.ndarray, size: np.ndarray, label: np.
 def _whole_keys(batches, fn):
     """``fn`` of tables that hold whole keys (the first column, sorted): the last key of a batch waits for the next."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
+    for batch in common.trimmed(batches):
         if not batch.num_rows:
             continue
         key = batch.column(0).to_numpy()
@@ -267,7 +267,7 @@ def hub_links(docs: DataFrame, reps: DataFrame, met: DataFrame, threshold: int)
 
     def meet(batches):
         now, hubs = None, []
-        for batch in batches:
+        for batch in common.trimmed(batches):
             meeting, right, names = (batch.column(k).to_pylist() for k in range(3))
             a, b = [], []
             for k, s in enumerate(shingle_sets(batch.column(3))):
@@ -404,7 +404,7 @@ def confirmed_links(docs: DataFrame, members: DataFrame, threshold: int) -> Data
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in found], like), pa.array([ids[j] for _, j in found], like)], ["a", "b"])
 
-        for batch in batches:
+        for batch in common.trimmed(batches):
             like = batch.schema.field(3).type
             meeting, side, same, names = (batch.column(k).to_pylist() for k in range(4))
             for k, s in enumerate(shingle_sets(batch.column(4))):

@@ -274,7 +274,7 @@ def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int =
     def run(batches):
         tok, shard = Tokenizer(*shared.value), TaskContext.get().partitionId()
         names, ids, held, first = [], [], 0, 0
-        for batch in batches:
+        for batch in common.trimmed(batches):
             data, offs = kernels.text_buffer(batch.column(1))
             owner = batch.column(0).to_pylist()
             for a, b in kernels.blocks(offs, BLOCK_BYTES):

@@ -104,7 +104,7 @@ def pieces(offs: np.ndarray):
 def _grouped(batches, fn):
     """``fn`` of the rows of each value of the first column, which is sorted: a value ends where the next starts."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
+    for batch in common.trimmed(batches):
         if not batch.num_rows:
             continue
         key = batch.column(0).to_numpy()
@@ -158,7 +158,7 @@ def pack_batches(reps: DataFrame) -> tuple[DataFrame, str, str]:
             row = [[(TaskContext.get().partitionId() << 32) + number], [ords], [fps], [offs.astype("<i8").tobytes()], [data.tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k else pa.int64()) for k, x in enumerate(row)], ["batch", "ords", "fps", "offs", "text"])
 
-        for batch in batches:
+        for batch in common.trimmed(batches):
             _, offs = kernels.text_buffer(batch.column(2))
             for a, b in kernels.blocks(offs, BATCH_BYTES):
                 if held and size + offs[b] - offs[a] > BATCH_BYTES:

@@ -104,6 +104,33 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: Rows of one key that a join leaves to one task, however few rows there are in all.
+HOT_ROWS = 1024
+
+
+def hot_keys(counts: DataFrame, *keys: str, n: str = "n") -> DataFrame | None:
+    """``keys`` of the rows of ``counts`` that count more rows than one task should join, or None.
+
+    They are fewer than ``BROADCAST_ROWS`` whatever is counted, as each has more than that part of all rows.
+    """
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    hot = counts.where(F.col(n) > max(HOT_ROWS, total // BROADCAST_ROWS)).select(*keys)
+    return None if hot.isEmpty() else hot
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str | list[str], hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """``rows.join(table, key, how)`` where ``table`` has a row a key and ``hot`` the keys that many rows have.
+
+    Rows of hot keys stay where they are and meet the few rows of ``table`` that they need; only the others are
+    shuffled. ``hot`` is from ``hot_keys``, which bounds what is broadcast.
+    """
+    if hot is None:
+        return rows.join(table, key, how)
+    hot = F.broadcast(hot)
+    apart = rows.join(hot, key, "left_semi").join(F.broadcast(table.join(hot, key, "left_semi")), key, how)
+    return apart.unionByName(rows.join(hot, key, "left_anti").join(table, key, how))
+
+
 #: Bits of the filter that ``narrow`` sends to every executor: 32 MB at most, whatever the tables.
 FILTER_BITS = 1 << 28
 _BUCKET = 1 << 15  # bits of one bitmap

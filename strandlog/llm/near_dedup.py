@@ -246,9 +246,14 @@ def _pair_schema(kind: T.DataType) -> T.StructType:
 
 def hub_links(docs: DataFrame, reps: DataFrame, met: DataFrame, threshold: int) -> DataFrame:
     """a, b: confirmed links of bucket members (band, doc_id, first, n) with the first of their buckets."""
-    edges = met.where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    edges = common.materialize(met.where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "near-hub-asked")
+    asked = common.materialize(edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "near-hubs")
+    hot = common.hot_keys(asked, "a")
+    if hot is not None:  # of a hub that repeats with several texts, each is to be asked: it takes the plain join
+        hubs = reps.select(F.col("doc_id").alias("a")).join(F.broadcast(hot), "a", "left_semi")
+        hot = common.materialize(hubs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("a"), "near-hot-hubs")
     side = lambda x: reps.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"))
-    both = edges.join(side("b"), "b").join(side("a"), "a")
+    both = common.spread_join(edges.join(side("b"), "b"), side("a"), "a", hot)
     both = both.where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")).select("a", "b", "n_b", "regs_a", "regs_b")
 
     def run(batch: pa.RecordBatch):
@@ -259,7 +264,7 @@ def hub_links(docs: DataFrame, reps: DataFrame, met: DataFrame, threshold: int)
     likely = common.materialize(common.map_arrow(both, run, _pair_schema(kind)).distinct(), "near-hub-edges")
     # A hub meets its partners in as many tasks as they need.
     tasks = likely.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(STAR)).cast("int").alias("tasks"))
-    known = likely.join(tasks, "a").withColumn("task", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int"))
+    known = common.spread_join(likely, tasks, "a", hot).withColumn("task", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int"))
     partners = known.select(F.xxhash64("a", "task").alias("meeting"), F.lit(True).alias("right"), F.col("b").alias("doc_id"))
     hubs = known.select("a", "task").distinct().select(F.xxhash64("a", "task").alias("meeting"), F.lit(False).alias("right"), F.col("a").alias("doc_id"))
     seats = common.materialize(hubs.unionByName(partners), "near-hub-seats")
@@ -285,15 +290,18 @@ def hub_links(docs: DataFrame, reps: DataFrame, met: DataFrame, threshold: int)
                 yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.field(2).type), pa.array(b, batch.schema.field(2).type)], ["a", "b"])
 
     out = common.materialize(sent.mapInArrow(meet, _pair_schema(kind)), "near-hub-links")
-    common.free(likely, seats)
+    common.free(edges, asked, likely, seats)
     return out
 
 
-def candidate_links(reps: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
-    """a, b: a forest of the pairs of rows (band, doc_id, label) of one band and two labels that may link."""
+def candidate_links(reps: DataFrame, rows: DataFrame, threshold: float, hot: DataFrame | None = None) -> DataFrame:
+    """a, b: a forest of the pairs of rows (band, doc_id, label) of one band and two labels that may link.
+
+    ``hot``: the bands that many rows have.
+    """
     size = rows.groupBy("band").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
     size = size.select("band", F.ceil(F.col("rows") / F.lit(BUCKET_ROWS)).cast("int").alias("parts"))
-    rows = rows.join(size, "band").join(reps.select("doc_id", F.col("n_shingles").alias("size"), "regs"), "doc_id")
+    rows = common.spread_join(rows, size, "band", hot).join(reps.select("doc_id", F.col("n_shingles").alias("size"), "regs"), "doc_id")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(F.col("part"), o).alias("x"), F.greatest(F.col("part"), o).alias("y")))
     rows = rows.withColumn("pair", F.explode(pairs))
@@ -379,10 +387,11 @@ def confirmed_links(docs: DataFrame, members: DataFrame, threshold: int) -> Data
         return many.cast("int").alias(what)
 
     # A large label has blocks of its own, small ones share blocks; places come from hashes and need no ordering.
-    labels = members.groupBy("cluster", "label").agg(blocks("own"))
-    known = members.join(labels, ["cluster", "label"])
+    labels = common.materialize(members.groupBy("cluster", "label").agg(blocks("own"), F.count(F.lit(1)).alias("n")), "near-labels")
+    known = common.spread_join(members, labels.drop("n"), ["cluster", "label"], common.hot_keys(labels, "cluster", "label"))
     mixed = known.where("own = 1").groupBy("cluster").agg(blocks("mixed"))
-    known = known.join(mixed, "cluster", "left")
+    sizes = labels.groupBy("cluster").agg(F.sum("n").alias("n"))
+    known = common.spread_join(known, mixed, "cluster", common.hot_keys(sizes, "cluster"), "left")
     pure = F.when(F.col("own") > 1, F.col("label"))
     place = F.when(F.col("own") > 1, F.pmod(F.xxhash64("doc_id"), F.col("own"))).otherwise(F.pmod(F.xxhash64("label"), F.col("mixed")))
     known = common.materialize(known.select("doc_id", "cluster", pure.alias("pure"), F.xxhash64(F.coalesce(pure.cast("string"), F.lit("-")), place).alias("block")), "near-blocks")
@@ -427,24 +436,28 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "
     sketches = common.materialize(sketch_table(docs), "near-sketches")
     known = sketches.where("doc_id is not null and n_shingles > 0")
     # Equal sets: a third of all rows may be one class, so only its smallest id goes on.
-    classes = common.materialize(known.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "near-classes")
-    member = known.select("doc_id", "fp_a", "fp_b", "n_shingles").join(classes, ["fp_a", "fp_b", "n_shingles"]).select("doc_id", "rep")
+    classes = common.materialize(known.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "near-classes")
+    large = common.hot_keys(classes, "fp_a", "fp_b", "n_shingles", "rep")
+    prints = ["fp_a", "fp_b", "n_shingles"]
+    member = common.spread_join(known.select("doc_id", *prints), classes.drop("n"), prints, None if large is None else large.drop("rep")).select("doc_id", "rep")
     reps = known.join(classes, (known.doc_id == classes.rep) & (known.fp_a == classes.fp_a) & (known.fp_b == classes.fp_b) & (known.n_shingles == classes.n_shingles), "left_semi")
     reps = reps.select("doc_id", "n_shingles", "regs", "bands")
     bands = reps.select("doc_id", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).where("n > 1")
-    met = common.materialize(bands.join(buckets, "band"), "near-bands")
+    buckets = common.materialize(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).where("n > 1"), "near-buckets")
+    hot = common.hot_keys(buckets, "band")
+    met = common.materialize(common.spread_join(bands, buckets, "band", hot), "near-bands")
     texts = docs.where("doc_id is not null and text is not null")
 
     links = hub_links(texts, reps, met, threshold)
     found = common.materialize(components.connected(links), "near-components")
     # Every pair with the first of a bucket has been asked: what is open are the others of different components.
     rest = met.where("n > 2 AND doc_id != first").join(found, F.col("doc_id") == F.col("node"), "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("label"))
-    candidates = common.materialize(candidate_links(reps, rest, threshold / 100), "near-candidates")
+    candidates = common.materialize(candidate_links(reps, rest, threshold / 100, hot), "near-candidates")
     if not candidates.isEmpty():
         clusters = components.connected(candidates).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
         open_ = clusters.join(found, F.col("doc_id") == F.col("node"), "left").select("doc_id", "cluster", F.coalesce("component", "doc_id").alias("label"))
         open_ = open_.join(reps.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")), "doc_id")
+        open_ = common.materialize(open_, "near-open")
         more = common.materialize(confirmed_links(texts, open_, threshold), "near-links")
         if not more.isEmpty():
             # The components that are known stand for the links that made them.
@@ -452,7 +465,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "
             found = components.connected(links)
     same_id = member.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     # A class follows its representative; components of classes are named by their smallest id.
-    home = member.join(found, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
+    named = found.withColumnRenamed("node", "rep")
+    home = common.spread_join(member, named, "rep", None if large is None else large.select("rep"), "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     repeated = home.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.countDistinct("component_id").alias("homes"))
     if repeated.where("homes > 1").limit(1).count():  # an id with several texts ties their components together
         tie = home.join(repeated.where("homes > 1").select("doc_id", F.col("component_id").alias("low")), "doc_id").select(F.col("low").alias("a"), F.col("component_id").alias("b")).where("a != b")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandlog.llm import components, near_dedup, suffix_dedup
+from strandlog.llm import common, components, near_dedup, suffix_dedup
 
 
 def brute_near(docs, threshold=85):
@@ -60,6 +60,37 @@ def test_near_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: c for i, (_, c) in brute_near(docs).items()}
 
 
+@pytest.mark.parametrize("hot", [1, 4])
+def test_near_of_hot_keys(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
+    monkeypatch.setattr(near_dedup, "STAR", 3)
+    docs = near_texts()
+    docs += [(1000 + k, docs[20][1]) for k in range(20)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: c for i, (_, c) in brute_near(docs).items()}
+
+
+def test_near_of_hot_hub_with_two_texts(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 1)
+    left, right = ([f"{side}{k}" for k in range(80)] for side in "lr")
+    rows = [(1, " ".join(left)), (1, " ".join(right))]
+    rows += [(2 + k, " ".join([*(left if k % 2 else right), f"own{k}"])) for k in range(10)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in got} == {1}
+
+
+def test_spread_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    rows = spark.createDataFrame([(None, 0), *((k, v) for k in range(6) for v in range(k + 1))], "k long, v long")
+    table = spark.createDataFrame([(k, -k) for k in (1, 4, 5, 9)], "k long, w long")
+    hot = common.hot_keys(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k")
+    assert {r["k"] for r in hot.collect()} == {3, 4, 5}
+    for how in ("inner", "left"):
+        got, want = (sorted(df.select("k", "v", "w").collect(), key=str) for df in (common.spread_join(rows, table, "k", hot, how), rows.join(table, "k", how)))
+        assert got == want
+    assert common.hot_keys(rows.where("k < 2").groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k") is None
+
+
 def test_near_odd(spark):
     long = " ".join(f"t{k}" for k in range(60_000))
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "p q r s t u"), (2, "a b c d e f"), (3, "p q r s t u"), (4, long), (5, long + " x")]
@@ -98,7 +129,9 @@ def test_estimate():
     assert n[0] == near_dedup.REGISTERS and abs(j[0] - 0.75) < 0.15
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot", [2, 1024])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     rng = np.random.default_rng(7)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))] + [(1000 + k, 1001 + k) for k in range(40)] + [(2000, 2001 + k) for k in range(60)]
     up = {i: i for e in links for i in e}

@@ -67,15 +67,16 @@ def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield batch
         del batch
-        _trim()
+        trim()
 
 
-def _trim() -> None:
+def trim() -> None:
+    """Give what the allocators of this process hold free back to the system."""
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-        if trim:
-            trim(0)
+        give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if give_back:
+            give_back(0)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: T.StructType) -> DataFrame:

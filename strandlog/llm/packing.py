@@ -42,7 +42,7 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 END = 50256  # what ends a document with that vocabulary
 ROW_LEN = 2048
 WINDOW_TOKENS = 1 << 20
-BLOCK_BYTES = 8 << 20  # text whose different chunks are encoded together
+BLOCK_BYTES = 2 << 20  # text whose different chunks are encoded together
 
 _encodings: dict[bytes, object] = {}
 
@@ -283,6 +283,8 @@ def pack(docs: DataFrame, ranks: dict[bytes, int] | None = None, row_len: int =
                     names.append(owner[a + i])
                     ids.append(np.append(flat[to[i] : to[i + 1]], end).astype(id_type))
                     held += len(ids[-1])
+                del flat
+                common.trim()
                 if held >= WINDOW_TOKENS:
                     out = rows(names, ids, first, shard)
                     first += out.num_rows

@@ -290,6 +290,32 @@ def test_pipeline_drops_bad_rows_without_id(spark, tmp_path):
     assert [r["text"] for r in out if r["doc_id"] is None] == [rows[-1][1]] and sum(r["doc_id"] is not None for r in out) == 200
 
 
+def test_mixing_takes_the_scores_of_the_quality_stage(spark, tmp_path, monkeypatch):
+    from strandlog.llm import quality_classifier
+
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(15)
+    text = lambda k: " ".join(rng.choice(["$$$", "###", "|||"] if k % 5 == 0 else [f"word{n}" for n in range(300)], 60))
+    rows = [(i, text(i), None, "ab"[i % 2], None) for i in range(200)] + [(None, text(1), None, "a", None), (3, text(1), None, "b", None), (7, None, None, "a", None)]
+    table = spark.createDataFrame([*rows, rows[2]], "doc_id long, text string, lang string, source string, n_chars long")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(200)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet").where("text is not null")
+    learned = sorted(map(str, pipeline.mixture(spark, kept, str(tmp_path)).collect()))  # by itself
+    pipeline.quality(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).count()
+    with monkeypatch.context() as m:
+        m.setattr(quality_classifier, "fit_documents", None)  # the scores are there: nothing is learned
+        out = pipeline.mixture(spark, kept, str(tmp_path))
+        assert sorted(map(str, out.collect())) == learned
+        assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+    # A row the quality stage has not seen, or other labels: learned anew.
+    other = kept.unionByName(spark.createDataFrame([(900, text(1), None, "a", None)], kept.schema))
+    assert any(r["doc_id"] == 900 for r in pipeline.mixture(spark, other, str(tmp_path)).collect())
+    before = pipeline._scores_path(spark, str(tmp_path))
+    spark.createDataFrame([(5, 0, 0)], "doc_id long, quality int, toxic int").write.mode("append").parquet(f"{tmp_path}/labels.parquet")
+    assert pipeline._scores_path(spark, str(tmp_path)) != before
+
+
 def test_large_sets_are_counted_in_whole_numbers():
     # 671,109 of 789,540 shingles are 85 per cent and a hair; one less is under it. float32 can't tell.
     values = np.arange(1, 789_541, dtype=np.uint64) * np.uint64(2_000_003)
